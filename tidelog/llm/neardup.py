@@ -6,9 +6,10 @@ groups of a collection differ: with probability 1 - about 2 * (1 - s ** rows) **
 rows and 16 groups; a link below a table's chance is still found through any chain of other links.
 
 1. Equal sets become one node, named by a fingerprint.
-2. In each table key the node of the smallest fingerprint is the pivot; each node is compared with its smallest pivot.
-3. Links make components; then, in each key, nodes of different components are compared, until none is left untested.
-   Nodes of the key's main component never meet each other again, so a group of copies costs its size, not its square.
+2. In each table key the node that agrees most with the others is the pivot; each node is compared with one pivot.
+3. Links make components; then, in each key, nodes of different components are compared, unless their distances from a
+   common pivot show that they are no link. Nodes of a key's main component never meet each other again, so a group of
+   copies costs about its size, not its square.
 
 First-collection keys that many nodes share are dealt out by the second collection too, by joins that Spark may split.
 """
@@ -26,11 +27,11 @@ from tidelog.llm._words import SPACES, mix, shingles, words
 
 ROWS, GROUPS = 3, 16
 #: A first-collection key of more nodes is dealt out by the second collection's keys.
-HOT = 1000
+HOT = 20_000
 #: Up to so many node ids (8 bytes each) are broadcast; beyond, documents are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Members compared with one pivot in one task.
-SALT = 512
+SALT = 128
 _U = np.uint64
 
 
@@ -44,23 +45,30 @@ def signatures(documents: DataFrame, shingle: int, rows: int, groups: int) -> Da
     def per_chunk(batch, column):
         found, first = shingles(words(column, SPACES), shingle)
         n, full = np.diff(first), np.flatnonzero(np.diff(first))
-        fp = np.zeros(len(n), _U)
         both = np.zeros((2 * groups, len(n)), _U)
         if len(full):
             at = first[:-1][full]
-            fp[full] = mix(np.add.reduceat(mix(found ^ _U(0xA5A5A5A5A5A5A5A5)), at) ^ (n[full].astype(_U) << _U(40)))
             for i, seed in enumerate(_seeds(2 * groups * rows)):
                 x = found * seed
                 x ^= x >> _U(29)
                 x *= _U(0xBF58476D1CE4E5B9)
                 least = np.minimum.reduceat(x, at)
                 both[i // rows][full] = mix(both[i // rows][full] + least + _U(i))
-        return record(doc_id=batch.column("doc_id"), n=pa.array(n), fp=pa.array(fp.view(np.int64)), a=_lists(both[:groups].T.view(np.int64)), b=_lists(both[groups:].T.astype(np.uint32).view(np.int32)))
+        return record(doc_id=batch.column("doc_id"), n=pa.array(n), fp=pa.array(_fingerprints(found, first)), a=_lists(both[:groups].T.view(np.int64)), b=_lists(both[groups:].T.astype(np.uint32).view(np.int32)))
 
     source = documents.select(F.col("doc_id"), F.col("text"))
     return map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n bigint, fp bigint, a array<bigint>, b array<int>")
 
 
+def _fingerprints(found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A number for each set, the same for equal sets; 0 for the empty one."""
+    n, full = np.diff(first), np.flatnonzero(np.diff(first))
+    fp = np.zeros(len(n), _U)
+    if len(full):
+        fp[full] = mix(np.add.reduceat(mix(found ^ _U(0xA5A5A5A5A5A5A5A5)), first[:-1][full]) ^ (n[full].astype(_U) << _U(40)))
+    return fp.view(np.int64)
+
+
 def _lists(matrix: np.ndarray) -> pa.Array:
     flat = np.ascontiguousarray(matrix).reshape(-1)
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, max(1, matrix.shape[1]), dtype=np.int32)), pa.array(flat))
@@ -72,100 +80,109 @@ def _small(x: np.ndarray) -> np.ndarray:
 
 
 def _in_task(cross: bool, percent: int):
-    """Candidate pairs of the keys of one partition. Stars: each node with the smallest one of its key; cross: nodes of different components, one of them outside the key's main one."""
+    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of its largest key; cross: nodes of different components, one of them outside the key's main one."""
 
     def run(batches):
         kept = [b for b in batches if b.num_rows]
         if not kept:
             return
         t = pa.Table.from_batches(kept)
-        key, fp, n, comp = (t.column(c).to_numpy() for c in ("k", "fp", "n", "c"))
-        b = t.column("b").combine_chunks()
-        b = b.flatten().to_numpy().reshape(t.num_rows, -1)
+        key, fp, n, comp, pivot, far, nth = (t.column(x).to_numpy() for x in ("k", "fp", "n", "c", "p", "d", "i"))
+        a, b = (np.asarray(t.column(x).combine_chunks().flatten()).reshape(t.num_rows, -1) for x in ("a", "b"))
         order = np.argsort(key, kind="stable")
         start = _small(key[order])
-        size = np.diff(np.append(start, len(order)))
-        order = order[np.repeat(size > 1, size)]
-        out_u, out_v = [], []
-        for j in range(b.shape[1]):
-            k2 = mix(key[order].view(_U) + mix(b[order, j].astype(_U) + _U(j << 33)))
-            o2 = np.lexsort((fp[order], k2))
-            at = order[o2]
-            start = _small(k2[o2])
-            size = np.diff(np.append(start, len(at)))
+        stop = np.append(start[1:], len(order))
+        out_u, out_v, out_m = [], [], []
+        for lo, hi in zip(start[stop - start > 1].tolist(), stop[stop - start > 1].tolist(), strict=True):
+            m = order[lo:hi]
             if not cross:
-                out_u.append(fp[at])
-                out_v.append(np.repeat(fp[at[start]], size))
+                # The node that agrees most with each table's commonest hash is nearest to all.
+                common = np.zeros(len(m), np.int64)
+                for j in range(b.shape[1]):
+                    _, inverse, count = np.unique(b[m, j], return_inverse=True, return_counts=True)
+                    common += inverse == count.argmax()
+                x = m[np.lexsort((fp[m], -common))[0]]
+                y = m[(b[m] == b[x]).any(axis=1) & (fp[m] != fp[x]) & _alike(n[m], n[x], percent)]
+                out_u.append(fp[y])
+                out_v.append(np.full(len(y), fp[x]))
+                out_m.append(np.full(len(y), len(m)))
                 continue
-            differ = np.minimum.reduceat(comp[at], start) != np.maximum.reduceat(comp[at], start) if len(start) else []
-            for s, e in zip(start[differ].tolist(), (start + size)[differ].tolist(), strict=True) if len(start) else ():
-                m = at[s:e]
-                names, inverse, counts = np.unique(comp[m], return_inverse=True, return_counts=True)
-                for x in m[inverse != counts.argmax()]:
-                    y = m[(comp[m] != comp[x]) & (100 * np.minimum(n[m], n[x]) >= percent * np.maximum(n[m], n[x]))]
-                    out_u.append(np.maximum(fp[y], fp[x]))
-                    out_v.append(np.minimum(fp[y], fp[x]))
-        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v))
-        if cross:
-            pairs = np.unique(np.stack((u, v), 1), axis=0)
-        else:  # a node's smallest pivot of this partition
-            o = np.lexsort((v, u))
-            u, v = u[o], v[o]
-            first = _small(u)
-            pairs = np.stack((u[first], v[first]), 1)
-            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        for i in range(0, len(pairs), 10_000):
-            yield record(u=pa.array(pairs[i : i + 10_000, 0]), v=pa.array(pairs[i : i + 10_000, 1]))
+            names, inverse, count = np.unique(comp[m], return_inverse=True, return_counts=True)
+            if len(names) < 2:
+                continue
+            earlier = slice(0, int(nth[m[0]]))
+            for x in m[inverse != count.argmax()]:
+                y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
+                y = y[(b[y] == b[x]).any(axis=1) & ~(a[y, earlier] == a[x, earlier]).any(axis=1)]
+                # Distances obey the triangle inequality: unlike distances from one pivot keep two nodes apart.
+                y = y[~((pivot[y] == pivot[x]) & (np.abs(far[y] - far[x]) > 1 - percent / 100 + 1e-9)) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]
+                out_u.append(np.maximum(fp[y], fp[x]))
+                out_v.append(np.minimum(fp[y], fp[x]))
+                out_m.append(np.zeros(len(y), np.int64))
+        u, v, size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v, out_m))
+        o = np.lexsort((v, -size, u))
+        u, v, size = u[o], v[o], size[o]
+        first = np.concatenate(([True], (u[1:] != u[:-1]) | (cross & (v[1:] != v[:-1])))) if len(u) else np.zeros(0, bool)
+        u, v, size = u[first], v[first], size[first]
+        for at in range(0, len(u), 10_000):
+            part = slice(at, at + 10_000)
+            yield record(u=pa.array(u[part]), v=pa.array(v[part]), m=pa.array(size[part]))
 
     return run
 
 
+def _alike(a: np.ndarray, b, percent: int) -> np.ndarray:
+    """Sizes of sets that can be similar enough."""
+    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+
+
 def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int) -> DataFrame:
-    """nodes: fp, n, c, a, b. hot: keys dealt out by the second collection."""
-    keyed = nodes.select("fp", "n", "c", "b", F.posexplode("a").alias("i", "h")).select("fp", "n", "c", "b", F.xxhash64("i", "h").alias("k"))
-    # Both sides may be large: the hot keys are at most 1 / HOT of all, and the join is free to be split.
+    """Candidate pairs u, v. nodes: fp, n, c (component), p and d (pivot, and the distance from it), a, b. hot: keys dealt out by the second collection."""
+    short = F.transform("a", lambda x: F.shiftright(x, 32).cast("int"))
+    keyed = nodes.select("fp", "n", "c", "p", "d", short.alias("s"), "b", F.posexplode("a").alias("i", "h")).select("fp", "n", "c", "p", "d", "i", F.col("s").alias("a"), "b", F.xxhash64("i", "h").alias("k"))
     marked = keyed.join(hot, "k", "left")
-    even = marked.filter("hot IS NULL").select("k", "fp", "n", "c", "b").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint")
+    even = marked.filter("hot IS NULL").select("k", "fp", "n", "c", "p", "d", "i", "a" if cross else F.array().cast("array<int>").alias("a"), "b").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint, m bigint")
     dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", "c", F.posexplode("b").alias("j", "g")).select(F.xxhash64("k", "j", "g").alias("k"), "fp", "n", "c")
     if not cross:
-        least = dealt.groupBy("k").agg(F.min("fp").alias("v"))
-        pairs = dealt.join(least, "k").select(F.col("fp").alias("u"), "v").filter("u <> v")
-        return even.union(pairs).groupBy("u").agg(F.min("v").alias("v"))
+        least = dealt.groupBy("k").agg(F.min("fp").alias("v"), F.count("*").alias("m"))
+        pairs = dealt.join(least, "k").select(F.col("fp").alias("u"), "v", "m").filter("u <> v")
+        # Each node's pivot in its largest key: a pair for each node at most.
+        return even.union(pairs).groupBy("u").agg(F.max(F.struct("m", "v")).alias("x")).select("u", F.col("x.v").alias("v"))
     sizes = dealt.groupBy("k", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("k").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("d")).filter("d > 1").select("k", F.col("x.c").alias("main"))
     mixed = dealt.join(main, "k")
     few = mixed.filter("c <> main").select("k", F.col("fp").alias("f2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
     pairs = mixed.join(few, "k").filter("c <> c2").filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(F.greatest("fp", "f2").alias("u"), F.least("fp", "f2").alias("v"))
-    return even.union(pairs).distinct()
+    return even.select("u", "v").union(pairs).distinct()
 
 
 def _jaccard(percent: int):
-    """Rows in the order of (v, salt): a pivot's set, then its members'."""
+    """Rows in the order of (v, part): a pivot's set, then its members'. Gives each pair's distance, and whether it is a link."""
 
     def run(batches):
         pivot = np.zeros(0, _U)
         for batch in batches:
             u, v, own, sets = (batch.column(c) for c in ("u", "v", "own", "s"))
-            out_u, out_v = [], []
+            out = [], [], [], []
             for x, y, mine, s in zip(u.to_pylist(), v.to_pylist(), own.to_pylist(), sets, strict=True):
                 values = np.frombuffer(s.as_buffer(), _U)
                 if mine:
                     pivot = values
                     continue
-                both = np.searchsorted(pivot, values)
-                both[both == len(pivot)] = 0
-                common = int((pivot[both] == values).sum()) if len(pivot) else 0
-                if 100 * common >= percent * (len(pivot) + len(values) - common):
-                    out_u.append(x)
-                    out_v.append(y)
-            if out_u:
-                yield record(u=pa.array(out_u, pa.int64()), v=pa.array(out_v, pa.int64()))
+                at = np.searchsorted(pivot, values)
+                at[at == len(pivot)] = 0
+                common = int((pivot[at] == values).sum()) if len(pivot) else 0
+                union = len(pivot) + len(values) - common
+                for column, value in zip(out, (x, y, 1 - common / union, 100 * common >= percent * union), strict=True):
+                    column.append(value)
+            if out[0]:
+                yield record(u=pa.array(out[0], pa.int64()), v=pa.array(out[1], pa.int64()), d=pa.array(out[2], pa.float64()), link=pa.array(out[3], pa.bool_()))
 
     return run
 
 
-def _confirm(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. A set moves once to its node and once for each pair."""
+def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """u, v, d, link of all pairs, by their full sets. A set moves once to its node and once for each pair."""
     ids = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
     wanted = stage(nodes.join(ids, "fp").select("fp", F.col("doc").alias("doc_id")), "wanted")
     few = wanted.count() <= BROADCAST_IDS
@@ -174,21 +191,16 @@ def _confirm(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle:
 
     def per_chunk(batch, column):
         found, first = shingles(words(column, SPACES), shingle)
-        n, full = np.diff(first), np.flatnonzero(np.diff(first))
-        fp = np.zeros(len(n), _U)
-        if len(full):
-            fp[full] = mix(np.add.reduceat(mix(found ^ _U(0xA5A5A5A5A5A5A5A5)), first[:-1][full]) ^ (n[full].astype(_U) << _U(40)))
-        return record(fp=pa.array(fp.view(np.int64)), s=pa.array([found[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()))
+        return record(fp=pa.array(_fingerprints(found, first)), s=pa.array([found[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()))
 
-    sets = map_chunks(source, per_chunk, "fp bigint, s binary").join(wanted.select("fp").hint("broadcast") if few else wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    sets = stage(sets, "sets")
-    star = pairs.withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(1 << 20)))
+    sets = map_chunks(source, per_chunk, "fp bigint, s binary").join(F.broadcast(wanted.select("fp")) if few else wanted.select("fp"), "fp", "left_semi")
+    sets = stage(sets.dropDuplicates(["fp"]), "sets")
     size = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts"))
-    star = star.join(size, "v").select("u", "v", F.pmod("salt", "parts").cast("int").alias("part"))
+    star = pairs.join(size, "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"))
     members = star.join(sets.withColumnRenamed("fp", "u"), "u").select("u", "v", "part", F.lit(0).alias("own"), "s")
     pivots = star.select("v", "part").distinct().join(sets.withColumnRenamed("fp", "v"), "v").select(F.col("v").alias("u"), "v", "part", F.lit(1).alias("own"), "s")
     dealt = members.union(pivots).repartition("v", "part").sortWithinPartitions("v", "part", F.desc("own"))
-    return dealt.mapInArrow(_jaccard(percent), "u bigint, v bigint")
+    return dealt.mapInArrow(_jaccard(percent), "u bigint, v bigint, d double, link boolean")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, groups: int = GROUPS) -> DataFrame:
@@ -204,12 +216,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     nodes = stage(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("a").alias("a"), F.first("b").alias("b")), "nodes")
     counts = nodes.select(F.posexplode("a").alias("i", "h")).groupBy(F.xxhash64("i", "h").alias("k")).count()
     hot = stage(counts.filter(F.col("count") > HOT).select("k", F.lit(True).alias("hot")), "hot")
-    stars = stage(_pairs(nodes.withColumn("c", F.col("fp")), hot, False, percent), "pairs")
-    links = stage(_confirm(documents, nodes, stars, shingle, percent), "links")
+    alone = nodes.withColumns({"c": F.col("fp"), "p": F.col("fp"), "d": F.lit(0.0)})
+    stars = stage(_pairs(alone, hot, False, percent), "pairs")
+    tried = stage(_compare(documents, nodes, stars, shingle, percent), "tried")
+    links = tried.filter("link").select("u", "v")
     labels = components(links)
-    named = nodes.join(labels.withColumnRenamed("u", "fp"), "fp", "left").withColumn("c", F.coalesce("c", "fp"))
+    named = nodes.join(labels.withColumnRenamed("u", "fp"), "fp", "left").join(tried.select(F.col("u").alias("fp"), F.col("v").alias("p"), "d"), "fp", "left")
+    named = named.withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp"), "d": F.coalesce("d", F.lit(0.0))})
     across = stage(_pairs(named, hot, True, percent), "pairs")
-    more = _confirm(documents, nodes, across, shingle, percent)
+    more = _compare(documents, nodes, across, shingle, percent).filter("link").select("u", "v")
     labels = stage(components(links.union(more)), "labels").withColumnRenamed("u", "fp")
     member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
     least = member.groupBy("c").agg(F.min("doc").alias("component_id"))
