@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelog.llm import bpe, decontaminate, html, language, linedup, neardup, tokencount, tokenfile, topk
+from tidelog.llm import bpe, decontaminate, html, language, linedup, lm, neardup, tokencount, tokenfile, topk
 from tidelog.llm._shared import read
 
 
@@ -49,6 +49,10 @@ def op9_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=13, share=20)
 
 
+def op10_lm_scoring(spark, sf_dir):
+    return lm.score_held_out(read(spark, sf_dir, "documents"), folds=7, fold=2)
+
+
 def queries():
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
