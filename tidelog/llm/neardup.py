@@ -7,9 +7,9 @@ rows and 16 groups; a link below a table's chance is still found through any cha
 
 1. Equal sets become one node, named by a fingerprint.
 2. In each table key the node that agrees most with the others is the pivot; each node is compared with one pivot.
-3. Links make components; then, in each key, nodes of different components are compared, unless their distances from a
-   common pivot show that they are no link. Nodes of a key's main component never meet each other again, so a group of
-   copies costs about its size, not its square.
+3. The nodes near a pivot that are no link of it are compared with the others near it by their differences from it,
+   within a task; enough links to join what they join come out, so a group of copies gives rows by its size.
+4. Links make components; then, in each key, nodes of different components and pivots are compared.
 
 First-collection keys that many nodes share are dealt out by the second collection too, by joins that Spark may split.
 """
@@ -32,6 +32,10 @@ HOT = 20_000
 BROADCAST_IDS = 1_000_000
 #: Members compared with one pivot in one task.
 SALT = 128
+#: Nodes of at least this similarity with their pivot, in percent, are compared among themselves by their differences from it.
+NEAR = 50
+#: Nodes of each side in one task of that.
+AROUND = 4096
 _U = np.uint64
 
 
@@ -40,7 +44,7 @@ def _seeds(n: int) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, shingle: int, rows: int, groups: int) -> DataFrame:
-    """doc_id, n (size of the set), fp (its fingerprint), a and b (a hash for each group of the two collections)."""
+    """doc_id, n (size of the set), fp (its fingerprint), a and b (a hash for each group of the two collections; b's in 16 bits each), s (a's in 32 bits each)."""
 
     def per_chunk(batch, column):
         found, first = shingles(words(column, SPACES), shingle)
@@ -54,10 +58,10 @@ def signatures(documents: DataFrame, shingle: int, rows: int, groups: int) -> Da
                 x *= _U(0xBF58476D1CE4E5B9)
                 least = np.minimum.reduceat(x, at)
                 both[i // rows][full] = mix(both[i // rows][full] + least + _U(i))
-        return record(doc_id=batch.column("doc_id"), n=pa.array(n), fp=pa.array(_fingerprints(found, first)), a=_lists(both[:groups].T.view(np.int64)), b=_lists(both[groups:].T.astype(np.uint32).view(np.int32)))
+        return record(doc_id=batch.column("doc_id"), n=pa.array(n), fp=pa.array(_fingerprints(found, first)), a=_lists(both[:groups].T.view(np.int64)), s=_packed(both[:groups].T.astype(np.uint32)), b=_packed(both[groups:].T.astype(np.uint16)))
 
     source = documents.select(F.col("doc_id"), F.col("text"))
-    return map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n bigint, fp bigint, a array<bigint>, b array<int>")
+    return map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n bigint, fp bigint, a array<bigint>, s binary, b binary")
 
 
 def _fingerprints(found: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -74,6 +78,16 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, max(1, matrix.shape[1]), dtype=np.int32)), pa.array(flat))
 
 
+def _packed(matrix: np.ndarray) -> pa.Array:
+    """A matrix, row by row, as binary."""
+    width = matrix.shape[1] * matrix.dtype.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(np.arange(0, len(matrix) * width + 1, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _unpacked(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     """Starts of runs of equal values, in sorted order."""
     return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
@@ -87,8 +101,9 @@ def _in_task(cross: bool, percent: int):
         if not kept:
             return
         t = pa.Table.from_batches(kept)
-        key, fp, n, comp, pivot, far, nth = (t.column(x).to_numpy() for x in ("k", "fp", "n", "c", "p", "d", "i"))
-        a, b = (np.asarray(t.column(x).combine_chunks().flatten()).reshape(t.num_rows, -1) for x in ("a", "b"))
+        key, fp, n, b = *(t.column(x).to_numpy() for x in ("k", "fp", "n")), _unpacked(t.column("b"), np.uint16)
+        if cross:
+            comp, pivot, nth, a = *(t.column(x).to_numpy() for x in ("c", "p", "i")), _unpacked(t.column("s"), np.uint32)
         order = np.argsort(key, kind="stable")
         start = _small(key[order])
         stop = np.append(start[1:], len(order))
@@ -114,8 +129,7 @@ def _in_task(cross: bool, percent: int):
             for x in m[inverse != count.argmax()]:
                 y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
                 y = y[(b[y] == b[x]).any(axis=1) & ~(a[y, earlier] == a[x, earlier]).any(axis=1)]
-                # Distances obey the triangle inequality: unlike distances from one pivot keep two nodes apart.
-                y = y[~((pivot[y] == pivot[x]) & (np.abs(far[y] - far[x]) > 1 - percent / 100 + 1e-9)) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]
+                y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
                 out_u.append(np.maximum(fp[y], fp[x]))
                 out_v.append(np.minimum(fp[y], fp[x]))
                 out_m.append(np.zeros(len(y), np.int64))
@@ -136,13 +150,14 @@ def _alike(a: np.ndarray, b, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int) -> DataFrame:
-    """Candidate pairs u, v. nodes: fp, n, c (component), p and d (pivot, and the distance from it), a, b. hot: keys dealt out by the second collection."""
-    short = F.transform("a", lambda x: F.shiftright(x, 32).cast("int"))
-    keyed = nodes.select("fp", "n", "c", "p", "d", short.alias("s"), "b", F.posexplode("a").alias("i", "h")).select("fp", "n", "c", "p", "d", "i", F.col("s").alias("a"), "b", F.xxhash64("i", "h").alias("k"))
+def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups: int) -> DataFrame:
+    """Candidate pairs u, v. nodes: fp, n, a, s, b, and for `cross` c (component) and p (pivot that it has been compared around, or itself). hot: keys dealt out by the second collection."""
+    own = ["fp", "n", *(["c", "p", "s"] if cross else []), "b"]
+    keyed = nodes.select(*own, F.posexplode("a").alias("i", "h")).select(*own, *(["i"] if cross else []), F.xxhash64("i", "h").alias("k"))
     marked = keyed.join(hot, "k", "left")
-    even = marked.filter("hot IS NULL").select("k", "fp", "n", "c", "p", "d", "i", "a" if cross else F.array().cast("array<int>").alias("a"), "b").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint, m bigint")
-    dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", "c", F.posexplode("b").alias("j", "g")).select(F.xxhash64("k", "j", "g").alias("k"), "fp", "n", "c")
+    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint, m bigint")
+    second = F.posexplode(F.array(*[F.substring("b", 2 * j + 1, 2) for j in range(groups)])).alias("j", "g")
+    dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", *(["c", "p"] if cross else []), second).withColumn("k", F.xxhash64("k", "j", "g"))
     if not cross:
         least = dealt.groupBy("k").agg(F.min("fp").alias("v"), F.count("*").alias("m"))
         pairs = dealt.join(least, "k").select(F.col("fp").alias("u"), "v", "m").filter("u <> v")
@@ -151,19 +166,19 @@ def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int) -> DataF
     sizes = dealt.groupBy("k", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("k").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("d")).filter("d > 1").select("k", F.col("x.c").alias("main"))
     mixed = dealt.join(main, "k")
-    few = mixed.filter("c <> main").select("k", F.col("fp").alias("f2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    pairs = mixed.join(few, "k").filter("c <> c2").filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(F.greatest("fp", "f2").alias("u"), F.least("fp", "f2").alias("v"))
+    few = mixed.filter("c <> main").select("k", F.col("fp").alias("f2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.col("p").alias("p2"))
+    pairs = mixed.join(few, "k").filter("c <> c2 AND p <> p2").filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(F.greatest("fp", "f2").alias("u"), F.least("fp", "f2").alias("v"))
     return even.select("u", "v").union(pairs).distinct()
 
 
-def _jaccard(percent: int):
-    """Rows in the order of (v, part): a pivot's set, then its members'. Gives each pair's distance, and whether it is a link."""
+def _jaccard(percent: int, near: bool):
+    """Rows in the order of (v, part): a pivot's set, then its members'. Gives the links; with `near`, also other pairs of at least NEAR, and all their sets' differences from the pivot's."""
 
     def run(batches):
         pivot = np.zeros(0, _U)
         for batch in batches:
             u, v, own, sets = (batch.column(c) for c in ("u", "v", "own", "s"))
-            out = [], [], [], []
+            out: tuple = [], [], [], [], []
             for x, y, mine, s in zip(u.to_pylist(), v.to_pylist(), own.to_pylist(), sets, strict=True):
                 values = np.frombuffer(s.as_buffer(), _U)
                 if mine:
@@ -171,18 +186,75 @@ def _jaccard(percent: int):
                     continue
                 at = np.searchsorted(pivot, values)
                 at[at == len(pivot)] = 0
-                common = int((pivot[at] == values).sum()) if len(pivot) else 0
+                same = pivot[at] == values if len(pivot) else np.zeros(len(values), bool)
+                common = int(same.sum())
                 union = len(pivot) + len(values) - common
-                for column, value in zip(out, (x, y, 1 - common / union, 100 * common >= percent * union), strict=True):
+                link = 100 * common >= percent * union
+                if not link and (not near or 100 * common < NEAR * union):
+                    continue
+                differ = np.concatenate((values[~same], np.delete(pivot, at[same]))).tobytes() if near else b""
+                for column, value in zip(out, (x, y, len(values), link, differ), strict=True):
                     column.append(value)
             if out[0]:
-                yield record(u=pa.array(out[0], pa.int64()), v=pa.array(out[1], pa.int64()), d=pa.array(out[2], pa.float64()), link=pa.array(out[3], pa.bool_()))
+                yield record(u=pa.array(out[0], pa.int64()), v=pa.array(out[1], pa.int64()), n=pa.array(out[2], pa.int64()), link=pa.array(out[3], pa.bool_()), x=pa.array(out[4], pa.binary()))
+
+    return run
+
+
+def _around(percent: int):
+    """Of a pivot's near nodes, some that are no link of it (o) and others (m): links between them, enough to join what they join.
+
+    The symmetric difference of two sets is that of their differences from the pivot, so only those are compared.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        fp, n, link, probe = (table.column(c).to_numpy() for c in ("u", "n", "link", "o"))
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("x")]
+        o, m = np.flatnonzero(probe), np.flatnonzero(~probe)
+        size = np.array([len(x) for x in sets], np.int64)
+        element = np.concatenate([sets[i] for i in m]) if len(m) else np.zeros(0, _U)
+        owner = np.repeat(np.arange(len(m)), size[m])
+        order = np.argsort(element, kind="stable")
+        element, owner = element[order], owner[order]
+        root: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while root.setdefault(i, i) != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        u, v = [], []
+        for i in o.tolist():
+            lo, hi = np.searchsorted(element, sets[i], "left"), np.searchsorted(element, sets[i], "right")
+            count = hi - lo
+            at = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            both = np.bincount(owner[at], minlength=len(m))
+            apart = size[i] + size[m] - 2 * both
+            for j in np.flatnonzero((apart * (100 + percent) <= (n[i] + n[m]) * (100 - percent)) & (fp[m] != fp[i])).tolist():
+                # All links of the pivot are one component already.
+                a, b = find(int(fp[i])), find(0 if link[m[j]] else int(fp[m[j]]))
+                if a != b:
+                    root[max(a, b, key=lambda x: (x != 0, x))] = min(a, b, key=lambda x: (x != 0, x))
+                    u.append(int(fp[i]))
+                    v.append(int(fp[m[j]]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
 
-def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """u, v, d, link of all pairs, by their full sets. A set moves once to its node and once for each pair."""
+def _compare_around(tried: DataFrame, percent: int) -> DataFrame:
+    """Links between the near nodes of each pivot, one of them no link of the pivot. Blocks of AROUND nodes meet in a task, so a pivot of any number of nodes fits."""
+    size = tried.groupBy("v").agg(F.count("*").alias("all"), F.sum(F.when(F.col("link"), 0).otherwise(1)).alias("out")).filter("out > 0 AND all > 1")
+    blocks = lambda c: F.ceil(F.col(c) / AROUND).cast("int")
+    rows = tried.join(size.select("v", blocks("all").alias("m"), blocks("out").alias("k")), "v")
+    block = lambda salt, n: F.pmod(F.xxhash64("u", F.lit(salt)), F.col(n)).cast("int")
+    members = rows.select("u", "v", "n", "link", "x", F.lit(False).alias("o"), block(1, "m").alias("j"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
+    probes = rows.filter("NOT link").select("u", "v", "n", "link", "x", F.lit(True).alias("o"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), block(2, "k").alias("i"))
+    return members.union(probes).groupBy("v", "i", "j").applyInArrow(_around(percent), "u bigint, v bigint")
+
+
+def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, near: bool = False) -> DataFrame:
+    """u, v, n, link, x of pairs, by their full sets, as _jaccard() gives them. A set moves once to its node and once for each pair."""
     ids = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
     wanted = stage(nodes.join(ids, "fp").select("fp", F.col("doc").alias("doc_id")), "wanted")
     few = wanted.count() <= BROADCAST_IDS
@@ -200,7 +272,7 @@ def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle:
     members = star.join(sets.withColumnRenamed("fp", "u"), "u").select("u", "v", "part", F.lit(0).alias("own"), "s")
     pivots = star.select("v", "part").distinct().join(sets.withColumnRenamed("fp", "v"), "v").select(F.col("v").alias("u"), "v", "part", F.lit(1).alias("own"), "s")
     dealt = members.union(pivots).repartition("v", "part").sortWithinPartitions("v", "part", F.desc("own"))
-    return dealt.mapInArrow(_jaccard(percent), "u bigint, v bigint, d double, link boolean")
+    return dealt.mapInArrow(_jaccard(percent, near), "u bigint, v bigint, n bigint, link boolean, x binary")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, groups: int = GROUPS) -> DataFrame:
@@ -213,17 +285,17 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     """
     # The input's partitions may be few and large: nothing below depends on them.
     found = stage(signatures(documents, shingle, rows, groups), "signatures")
-    nodes = stage(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("a").alias("a"), F.first("b").alias("b")), "nodes")
+    nodes = stage(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("a").alias("a"), F.first("s").alias("s"), F.first("b").alias("b")), "nodes")
     counts = nodes.select(F.posexplode("a").alias("i", "h")).groupBy(F.xxhash64("i", "h").alias("k")).count()
     hot = stage(counts.filter(F.col("count") > HOT).select("k", F.lit(True).alias("hot")), "hot")
-    alone = nodes.withColumns({"c": F.col("fp"), "p": F.col("fp"), "d": F.lit(0.0)})
-    stars = stage(_pairs(alone, hot, False, percent), "pairs")
-    tried = stage(_compare(documents, nodes, stars, shingle, percent), "tried")
-    links = tried.filter("link").select("u", "v")
-    labels = components(links)
-    named = nodes.join(labels.withColumnRenamed("u", "fp"), "fp", "left").join(tried.select(F.col("u").alias("fp"), F.col("v").alias("p"), "d"), "fp", "left")
-    named = named.withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp"), "d": F.coalesce("d", F.lit(0.0))})
-    across = stage(_pairs(named, hot, True, percent), "pairs")
+    stars = stage(_pairs(nodes, hot, False, percent, groups), "pairs")
+    tried = stage(_compare(documents, nodes, stars, shingle, percent, near=True), "tried")
+    links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried, percent)), "links")
+    # The joins keep one strategy at every size, so what moves grows with the input.
+    labels = components(links).withColumnRenamed("u", "fp").hint("shuffle_merge")
+    around = tried.select(F.col("u").alias("fp"), F.col("v").alias("p")).hint("shuffle_merge")
+    named = nodes.select("fp", "n", "a", "s", "b").join(labels, "fp", "left").join(around, "fp", "left").withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp")})
+    across = stage(_pairs(named, hot, True, percent, groups), "pairs")
     more = _compare(documents, nodes, across, shingle, percent).filter("link").select("u", "v")
     labels = stage(components(links.union(more)), "labels").withColumnRenamed("u", "fp")
     member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
