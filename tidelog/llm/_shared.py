@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.shipping import ship
 
 #: Bytes of text that a worker handles at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

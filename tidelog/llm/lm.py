@@ -33,7 +33,7 @@ from tidelog.shipping import ship
 #: Bytes of text for each shard, about; and the least number of shards.
 SHARD_BYTES, SHARDS = 24 << 20, 64
 #: Distinct pairs that a task gathers before it hands them on.
-GATHERED = 3_000_000
+GATHERED = 2_000_000
 #: Part of the texts in which words are counted to find those that begin many pairs. It steers the dealing out alone.
 SAMPLED = 0.02
 #: A count of this or more stands in a list of its own.

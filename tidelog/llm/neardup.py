@@ -6,7 +6,8 @@ groups of a collection differ: with probability 1 - about 2 * (1 - s ** rows) **
 rows and 16 groups; a link below a table's chance is still found through any chain of other links.
 
 1. Equal sets become one node, named by a fingerprint.
-2. In each table key the node that agrees most with the others is the pivot; each node is compared with one pivot.
+2. In each table key the node that agrees most with the others is the pivot; each node is compared with
+   one pivot, of its pivots the one that most nodes have.
 3. The nodes near a pivot that are no link of it are compared with the others near it by their differences from it,
    within a task; enough links to join what they join come out, so a group of copies gives rows by its size.
 4. Links make components; then, in each key, nodes of different components and pivots are compared.
@@ -94,7 +95,7 @@ def _small(x: np.ndarray) -> np.ndarray:
 
 
 def _in_task(cross: bool, percent: int):
-    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of its largest key; cross: nodes of different components, one of them outside the key's main one."""
+    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of each key; cross: nodes of different components, one of them outside the key's main one."""
 
     def run(batches):
         kept = [b for b in batches if b.num_rows]
@@ -107,7 +108,7 @@ def _in_task(cross: bool, percent: int):
         order = np.argsort(key, kind="stable")
         start = _small(key[order])
         stop = np.append(start[1:], len(order))
-        out_u, out_v, out_m = [], [], []
+        out_u, out_v = [], []
         for lo, hi in zip(start[stop - start > 1].tolist(), stop[stop - start > 1].tolist(), strict=True):
             m = order[lo:hi]
             if not cross:
@@ -120,7 +121,6 @@ def _in_task(cross: bool, percent: int):
                 y = m[(b[m] == b[x]).any(axis=1) & (fp[m] != fp[x]) & _alike(n[m], n[x], percent)]
                 out_u.append(fp[y])
                 out_v.append(np.full(len(y), fp[x]))
-                out_m.append(np.full(len(y), len(m)))
                 continue
             names, inverse, count = np.unique(comp[m], return_inverse=True, return_counts=True)
             if len(names) < 2:
@@ -132,15 +132,14 @@ def _in_task(cross: bool, percent: int):
                 y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
                 out_u.append(np.maximum(fp[y], fp[x]))
                 out_v.append(np.minimum(fp[y], fp[x]))
-                out_m.append(np.zeros(len(y), np.int64))
-        u, v, size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v, out_m))
-        o = np.lexsort((v, -size, u))
-        u, v, size = u[o], v[o], size[o]
-        first = np.concatenate(([True], (u[1:] != u[:-1]) | (cross & (v[1:] != v[:-1])))) if len(u) else np.zeros(0, bool)
-        u, v, size = u[first], v[first], size[first]
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v))
+        o = np.lexsort((v, u))
+        u, v = u[o], v[o]
+        first = np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1]))) if len(u) else np.zeros(0, bool)
+        u, v = u[first], v[first]
         for at in range(0, len(u), 10_000):
             part = slice(at, at + 10_000)
-            yield record(u=pa.array(u[part]), v=pa.array(v[part]), m=pa.array(size[part]))
+            yield record(u=pa.array(u[part]), v=pa.array(v[part]))
 
     return run
 
@@ -155,20 +154,22 @@ def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups:
     own = ["fp", "n", *(["c", "p", "s"] if cross else []), "b"]
     keyed = nodes.select(*own, F.posexplode("a").alias("i", "h")).select(*own, *(["i"] if cross else []), F.xxhash64("i", "h").alias("k"))
     marked = keyed.join(hot, "k", "left")
-    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint, m bigint")
+    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint")
     second = F.posexplode(F.array(*[F.substring("b", 2 * j + 1, 2) for j in range(groups)])).alias("j", "g")
     dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", *(["c", "p"] if cross else []), second).withColumn("k", F.xxhash64("k", "j", "g"))
     if not cross:
-        least = dealt.groupBy("k").agg(F.min("fp").alias("v"), F.count("*").alias("m"))
-        pairs = dealt.join(least, "k").select(F.col("fp").alias("u"), "v", "m").filter("u <> v")
-        # Each node's pivot in its largest key: a pair for each node at most.
-        return even.union(pairs).groupBy("u").agg(F.max(F.struct("m", "v")).alias("x")).select("u", F.col("x.v").alias("v"))
+        least = dealt.groupBy("k").agg(F.min("fp").alias("v"))
+        pairs = even.union(dealt.join(least, "k").select(F.col("fp").alias("u"), "v").filter("u <> v")).distinct()
+        # Of a node's pivots the one that most nodes have, so a group of copies gathers around few: a pair for each node at most.
+        pairs = stage(pairs, "pivots")
+        liked = pairs.groupBy("v").agg(F.count("*").alias("m"))
+        return pairs.join(liked, "v").groupBy("u").agg(F.max(F.struct("m", "v")).alias("x")).select("u", F.col("x.v").alias("v"))
     sizes = dealt.groupBy("k", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("k").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("d")).filter("d > 1").select("k", F.col("x.c").alias("main"))
     mixed = dealt.join(main, "k")
     few = mixed.filter("c <> main").select("k", F.col("fp").alias("f2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.col("p").alias("p2"))
     pairs = mixed.join(few, "k").filter("c <> c2 AND p <> p2").filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(F.greatest("fp", "f2").alias("u"), F.least("fp", "f2").alias("v"))
-    return even.select("u", "v").union(pairs).distinct()
+    return even.union(pairs).distinct()
 
 
 def _jaccard(percent: int, near: bool):
