@@ -10,7 +10,8 @@ rows and 16 groups; a link below a table's chance is still found through any cha
    one pivot, of its pivots the one that most nodes have.
 3. The nodes near a pivot that are no link of it are compared with the others near it by their differences from it,
    within a task; enough links to join what they join come out, so a group of copies gives rows by its size.
-4. Links make components; then, in each key, nodes of different components and pivots are compared.
+4. Links make components; then, in each key, nodes outside its main component meet the pivots of those of others, and
+   in the same way all nodes near those pivots.
 
 First-collection keys that many nodes share are dealt out by the second collection too, by joins that Spark may split.
 """
@@ -95,7 +96,7 @@ def _small(x: np.ndarray) -> np.ndarray:
 
 
 def _in_task(cross: bool, percent: int):
-    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of each key; cross: nodes of different components, one of them outside the key's main one."""
+    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of each key; cross: nodes outside the key's main component with the pivots of the key's other nodes."""
 
     def run(batches):
         kept = [b for b in batches if b.num_rows]
@@ -130,8 +131,9 @@ def _in_task(cross: bool, percent: int):
                 y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
                 y = y[(b[y] == b[x]).any(axis=1) & ~(a[y, earlier] == a[x, earlier]).any(axis=1)]
                 y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
-                out_u.append(np.maximum(fp[y], fp[x]))
-                out_v.append(np.minimum(fp[y], fp[x]))
+                around = np.unique(pivot[y])  # a node meets the pivots of others, which stand for all around them
+                out_u.append(np.full(len(around), fp[x]))
+                out_v.append(around)
         u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v))
         o = np.lexsort((v, u))
         u, v = u[o], v[o]
@@ -167,13 +169,13 @@ def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups:
     sizes = dealt.groupBy("k", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("k").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("d")).filter("d > 1").select("k", F.col("x.c").alias("main"))
     mixed = dealt.join(main, "k")
-    few = mixed.filter("c <> main").select("k", F.col("fp").alias("f2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.col("p").alias("p2"))
-    pairs = mixed.join(few, "k").filter("c <> c2 AND p <> p2").filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(F.greatest("fp", "f2").alias("u"), F.least("fp", "f2").alias("v"))
+    few = mixed.filter("c <> main").select("k", F.col("fp").alias("u"), F.col("c").alias("c2"), F.col("p").alias("p2"))
+    pairs = mixed.select("k", "c", F.col("p").alias("v")).distinct().join(few, "k").filter("c <> c2 AND v <> p2").select("u", "v")
     return even.union(pairs).distinct()
 
 
-def _jaccard(percent: int, near: bool):
-    """Rows in the order of (v, part): a pivot's set, then its members'. Gives the links; with `near`, also other pairs of at least NEAR, and all their sets' differences from the pivot's."""
+def _jaccard(percent: int, near: int):
+    """Rows in the order of (v, part): a pivot's set, then its members'. Gives the links; also other pairs of at least `near` percent, and all their sets' differences from the pivot's."""
 
     def run(batches):
         pivot = np.zeros(0, _U)
@@ -191,9 +193,9 @@ def _jaccard(percent: int, near: bool):
                 common = int(same.sum())
                 union = len(pivot) + len(values) - common
                 link = 100 * common >= percent * union
-                if not link and (not near or 100 * common < NEAR * union):
+                if not link and 100 * common < near * union:
                     continue
-                differ = np.concatenate((values[~same], np.delete(pivot, at[same]))).tobytes() if near else b""
+                differ = np.concatenate((values[~same], np.delete(pivot, at[same]))).tobytes()
                 for column, value in zip(out, (x, y, len(values), link, differ), strict=True):
                     column.append(value)
             if out[0]:
@@ -233,7 +235,7 @@ def _around(percent: int):
             apart = size[i] + size[m] - 2 * both
             for j in np.flatnonzero((apart * (100 + percent) <= (n[i] + n[m]) * (100 - percent)) & (fp[m] != fp[i])).tolist():
                 # All links of the pivot are one component already.
-                a, b = find(int(fp[i])), find(0 if link[m[j]] else int(fp[m[j]]))
+                a, b = (find(0 if link[k] else int(fp[k])) for k in (i, m[j]))
                 if a != b:
                     root[max(a, b, key=lambda x: (x != 0, x))] = min(a, b, key=lambda x: (x != 0, x))
                     u.append(int(fp[i]))
@@ -244,17 +246,17 @@ def _around(percent: int):
 
 
 def _compare_around(tried: DataFrame, percent: int) -> DataFrame:
-    """Links between the near nodes of each pivot, one of them no link of the pivot. Blocks of AROUND nodes meet in a task, so a pivot of any number of nodes fits."""
-    size = tried.groupBy("v").agg(F.count("*").alias("all"), F.sum(F.when(F.col("link"), 0).otherwise(1)).alias("out")).filter("out > 0 AND all > 1")
+    """Links between the near nodes of each pivot, one of them marked `probe`. Blocks of AROUND nodes meet in a task, so a pivot of any number of nodes fits."""
+    size = tried.groupBy("v").agg(F.count("*").alias("all"), F.sum(F.col("probe").cast("int")).alias("out")).filter("out > 0 AND all > 1")
     blocks = lambda c: F.ceil(F.col(c) / AROUND).cast("int")
     rows = tried.join(size.select("v", blocks("all").alias("m"), blocks("out").alias("k")), "v")
     block = lambda salt, n: F.pmod(F.xxhash64("u", F.lit(salt)), F.col(n)).cast("int")
     members = rows.select("u", "v", "n", "link", "x", F.lit(False).alias("o"), block(1, "m").alias("j"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
-    probes = rows.filter("NOT link").select("u", "v", "n", "link", "x", F.lit(True).alias("o"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), block(2, "k").alias("i"))
+    probes = rows.filter("probe").select("u", "v", "n", "link", "x", F.lit(True).alias("o"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), block(2, "k").alias("i"))
     return members.union(probes).groupBy("v", "i", "j").applyInArrow(_around(percent), "u bigint, v bigint")
 
 
-def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, near: bool = False) -> DataFrame:
+def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, near: int) -> DataFrame:
     """u, v, n, link, x of pairs, by their full sets, as _jaccard() gives them. A set moves once to its node and once for each pair."""
     ids = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
     wanted = stage(nodes.join(ids, "fp").select("fp", F.col("doc").alias("doc_id")), "wanted")
@@ -290,14 +292,16 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     counts = nodes.select(F.posexplode("a").alias("i", "h")).groupBy(F.xxhash64("i", "h").alias("k")).count()
     hot = stage(counts.filter(F.col("count") > HOT).select("k", F.lit(True).alias("hot")), "hot")
     stars = stage(_pairs(nodes, hot, False, percent, groups), "pairs")
-    tried = stage(_compare(documents, nodes, stars, shingle, percent, near=True), "tried")
-    links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried, percent)), "links")
+    tried = stage(_compare(documents, nodes, stars, shingle, percent, NEAR), "tried")
+    links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried.withColumn("probe", ~F.col("link")), percent)), "links")
     # The joins keep one strategy at every size, so what moves grows with the input.
     labels = components(links).withColumnRenamed("u", "fp").hint("shuffle_merge")
     around = tried.select(F.col("u").alias("fp"), F.col("v").alias("p")).hint("shuffle_merge")
     named = nodes.select("fp", "n", "a", "s", "b").join(labels, "fp", "left").join(around, "fp", "left").withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp")})
     across = stage(_pairs(named, hot, True, percent, groups), "pairs")
-    more = _compare(documents, nodes, across, shingle, percent).filter("link").select("u", "v")
+    again = stage(_compare(documents, nodes, across, shingle, percent, 0), "tried")
+    both = tried.withColumn("probe", F.lit(False)).union(again.withColumn("probe", F.lit(True)))
+    more = again.filter("link").select("u", "v").union(_compare_around(both, percent))
     labels = stage(components(links.union(more)), "labels").withColumnRenamed("u", "fp")
     member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
     least = member.groupBy("c").agg(F.min("doc").alias("component_id"))
