@@ -299,9 +299,19 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     around = tried.select(F.col("u").alias("fp"), F.col("v").alias("p")).hint("shuffle_merge")
     named = nodes.select("fp", "n", "a", "s", "b").join(labels, "fp", "left").join(around, "fp", "left").withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp")})
     across = stage(_pairs(named, hot, True, percent, groups), "pairs")
-    again = stage(_compare(documents, nodes, across, shingle, percent, 0), "tried")
-    both = tried.withColumn("probe", F.lit(False)).union(again.withColumn("probe", F.lit(True)))
-    more = again.filter("link").select("u", "v").union(_compare_around(both, percent))
+    # First each node meets one more pivot, of those offered the one with most nodes near it.
+    near = tried.groupBy(F.col("v").alias("q")).agg(F.count("*").alias("m"))
+    offered = across.withColumnRenamed("v", "q").join(near, "q", "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    second = stage(offered.groupBy("u").agg(F.max(F.struct("m", "q")).alias("x")).select("u", F.col("x.q").alias("v")), "pairs")
+    again = stage(_compare(documents, nodes, second, shingle, percent, 0), "tried")
+    both = stage(tried.withColumn("probe", F.lit(False)).union(again.withColumn("probe", F.lit(True))), "near")
+    more = stage(again.filter("link").select("u", "v").union(_compare_around(both, percent)), "links")
+    # Then the other pivots, and nodes without any, unless those were near the same one.
+    home = both.select(F.col("u").alias("q"), F.col("v").alias("b"), F.lit(True).alias("met")).distinct()
+    left = offered.join(second.withColumnRenamed("v", "b"), "u").join(home, ["q", "b"], "left").filter("q <> b AND NOT (m = 0 AND met IS NOT NULL)").select("u", F.col("q").alias("v"))
+    last = stage(_compare(documents, nodes, stage(left, "pairs"), shingle, percent, 0), "tried")
+    reached = both.drop("probe").withColumn("probe", F.lit(False)).join(near.select(F.col("q").alias("v")), "v", "left_semi").select(*both.columns)
+    more = more.union(last.filter("link").select("u", "v")).union(_compare_around(reached.union(last.withColumn("probe", F.lit(True))), percent))
     labels = stage(components(links.union(more)), "labels").withColumnRenamed("u", "fp")
     member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
     least = member.groupBy("c").agg(F.min("doc").alias("component_id"))
