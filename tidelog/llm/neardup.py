@@ -18,6 +18,8 @@ First-collection keys that many nodes share are dealt out by the second collecti
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,8 @@ from tidelog.llm._shared import map_chunks, record, stage
 from tidelog.llm._words import SPACES, mix, shingles, words
 
 ROWS, GROUPS = 3, 16
+#: Chance that a pair at the threshold is passed over for too few equal hashes.
+AMISS = 1e-5
 #: A first-collection key of more nodes is dealt out by the second collection's keys.
 HOT = 20_000
 #: Up to so many node ids (8 bytes each) are broadcast; beyond, documents are joined by a shuffle.
@@ -95,7 +99,17 @@ def _small(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
 
 
-def _in_task(cross: bool, percent: int):
+def agreeing(groups: int, rows: int, percent: int) -> int:
+    """Hashes of both collections in which two sets at the threshold agree but for a chance of AMISS; sets of half that similarity rarely do."""
+    p, n, total = (percent / 100) ** rows, 2 * groups, 0.0
+    for k in range(n + 1):
+        total += math.comb(n, k) * p**k * (1 - p) ** (n - k)
+        if total > AMISS:
+            return max(2, k)
+    return n
+
+
+def _in_task(cross: bool, percent: int, least: int):
     """Candidate pairs of the keys of one partition. Stars: each node with the middle one of each key; cross: nodes outside the key's main component with the pivots of the key's other nodes."""
 
     def run(batches):
@@ -129,7 +143,8 @@ def _in_task(cross: bool, percent: int):
             earlier = slice(0, int(nth[m[0]]))
             for x in m[inverse != count.argmax()]:
                 y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
-                y = y[(b[y] == b[x]).any(axis=1) & ~(a[y, earlier] == a[x, earlier]).any(axis=1)]
+                share, same = b[y] == b[x], a[y] == a[x]
+                y = y[share.any(axis=1) & ~same[:, earlier].any(axis=1) & (share.sum(axis=1) + same.sum(axis=1) >= least)]
                 y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
                 around = np.unique(pivot[y])  # a node meets the pivots of others, which stand for all around them
                 out_u.append(np.full(len(around), fp[x]))
@@ -151,12 +166,12 @@ def _alike(a: np.ndarray, b, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups: int) -> DataFrame:
+def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups: int, rows: int) -> DataFrame:
     """Candidate pairs u, v. nodes: fp, n, a, s, b, and for `cross` c (component) and p (pivot that it has been compared around, or itself). hot: keys dealt out by the second collection."""
     own = ["fp", "n", *(["c", "p", "s"] if cross else []), "b"]
     keyed = nodes.select(*own, F.posexplode("a").alias("i", "h")).select(*own, *(["i"] if cross else []), F.xxhash64("i", "h").alias("k"))
     marked = keyed.join(hot, "k", "left")
-    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent), "u bigint, v bigint")
+    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent, agreeing(groups, rows, percent)), "u bigint, v bigint")
     second = F.posexplode(F.array(*[F.substring("b", 2 * j + 1, 2) for j in range(groups)])).alias("j", "g")
     dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", *(["c", "p"] if cross else []), second).withColumn("k", F.xxhash64("k", "j", "g"))
     if not cross:
@@ -291,14 +306,14 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     nodes = stage(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("a").alias("a"), F.first("s").alias("s"), F.first("b").alias("b")), "nodes")
     counts = nodes.select(F.posexplode("a").alias("i", "h")).groupBy(F.xxhash64("i", "h").alias("k")).count()
     hot = stage(counts.filter(F.col("count") > HOT).select("k", F.lit(True).alias("hot")), "hot")
-    stars = stage(_pairs(nodes, hot, False, percent, groups), "pairs")
+    stars = stage(_pairs(nodes, hot, False, percent, groups, rows), "pairs")
     tried = stage(_compare(documents, nodes, stars, shingle, percent, NEAR), "tried")
     links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried.withColumn("probe", ~F.col("link")), percent)), "links")
     # The joins keep one strategy at every size, so what moves grows with the input.
     labels = components(links).withColumnRenamed("u", "fp").hint("shuffle_merge")
     around = tried.select(F.col("u").alias("fp"), F.col("v").alias("p")).hint("shuffle_merge")
     named = nodes.select("fp", "n", "a", "s", "b").join(labels, "fp", "left").join(around, "fp", "left").withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp")})
-    across = stage(_pairs(named, hot, True, percent, groups), "pairs")
+    across = stage(_pairs(named, hot, True, percent, groups, rows), "pairs")
     # First each node meets one more pivot, of those offered the one with most nodes near it.
     near = tried.groupBy(F.col("v").alias("q")).agg(F.count("*").alias("m"))
     offered = across.withColumnRenamed("v", "q").join(near, "q", "left").withColumn("m", F.coalesce("m", F.lit(0)))
