@@ -22,12 +22,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs of 50 words; those of which nothing stays go."""
+    """Documents without later copies of line runs of 50 words; those of which nothing stays go. Own columns named n_lines or n_deleted stay as they are."""
     columns = docs.columns
-    found = linedup.deduplicate_lines(docs, min_words=50).filter((F.col("n_deleted") == 0) | (F.length(F.trim("text")) > 0))
+    own = {c: f"__own_{c}" for c in ("n_lines", "n_deleted") if c in columns}
+    found = linedup.deduplicate_lines(docs.withColumnsRenamed(own), min_words=50).filter((F.col("n_deleted") == 0) | (F.length(F.trim("text")) > 0))
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*columns)
+    return found.select(*[F.col(own.get(c, c)).alias(c) for c in columns])
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
