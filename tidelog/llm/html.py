@@ -55,6 +55,9 @@ LABELLED = (
     (2, 0.0, 38, 0.0, 71, 0.0, 0, 0, 0, 0, 1), (18, 0.0, 30, 0.0, 25, 0.1, 0, 0, 0, 0, 1), (9, 0.0, 1, 1.0, 64, 0.0, 0, 0, 0, 0, 1),
     (24, 0.2, 12, 0.0, 33, 0.0, 0, 0, 0, 0, 1), (150, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0, 1), (12, 0.0, 80, 0.0, 15, 0.0, 0, 0, 0, 0, 1),
     (50, 0.0, 20, 0.0, 3, 1.0, 0, 0, 0, 0, 1), (28, 0.0, 70, 0.0, 1, 1.0, 0, 0, 0, 0, 1), (22, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 1),
+    # a short heading after a short line, before a paragraph
+    (4, 0.0, 9, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (2, 0.0, 3, 0.0, 30, 0.0, 0, 0, 0, 0, 1), (5, 0.0, 14, 0.0, 100, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 5, 0.6, 40, 0.0, 0, 0, 0, 0, 1),
+    # menus, notes and adverts there
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0), (3, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0), (6, 0.8, 2, 1.0, 40, 0.0, 0, 0, 0, 0, 0),
     (2, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (25, 0.9, 4, 1.0, 9, 0.9, 0, 0, 0, 0, 0), (4, 0.0, 2, 0.0, 1, 1.0, 0, 0, 0, 0, 0),
     (55, 0.0, 30, 0.0, 20, 0.0, 0, 0, 1, 0, 0), (40, 0.0, 45, 0.0, 30, 0.0, 0, 0, 0, 1, 0), (10, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1, 0, 0),
