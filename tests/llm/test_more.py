@@ -55,8 +55,7 @@ def page(r, layout):
 
 @pytest.mark.parametrize("layout", ["article", "main", "divs"])
 def test_pages_of_three_layouts(layout):
-    r, tree, right = random.Random(3), html.train(), 0
-    for _ in range(100):
+    r, tree = random.Random(3), html.train()
+    for _ in range(300):
         source, want = page(r, layout)
-        right += html.main_text(source, tree) == want
-    assert right >= 98
+        assert html.main_text(source, tree) == want
