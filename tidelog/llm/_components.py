@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import stage
+from tidelog.llm._shared import Stages
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, stage: Stages, most_rounds: int = 60) -> DataFrame:
     """(u, v) bigint pairs to (u, c): c is the smallest node reachable from u. Nodes without an edge, or with an edge to themselves alone, are left out.
 
     Alternates large-star and small-star steps, in which each node's neighbours are linked to its smallest one, until

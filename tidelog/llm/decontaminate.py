@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import as_text, map_chunks, record
+from tidelog.llm._shared import as_text, carried, carried_schema, kept, map_chunks, record
 from tidelog.llm._words import NOT_ALNUM, Words, mix, words
 
 #: Bytes of benchmark text in one broadcast search table.
@@ -155,7 +155,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13,
     """
     spark = documents.sparkSession
     sent = [spark.sparkContext.broadcast(t) for t in tables(benchmark, window)]
-    source = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *[F.col(c).alias(f"__k_{c}") for c in keep or []])
+    source, home = kept(documents, keep, doc_id, text)
 
     def per_chunk(batch, column):
         w = words(column, NOT_ALNUM)
@@ -171,14 +171,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13,
         inside = np.concatenate(([0], np.cumsum(np.cumsum(hit)[:-1] > 0)))
         n_hit = inside[w.first[1:]] - inside[w.first[:-1]]
         return record(
-            doc_id=batch.column("doc_id"), n_words=pa.array(w.count), n_hit=pa.array(n_hit), n_items=pa.array([len(x) for x in items], pa.int64()),
+            doc_id=batch.column("__id"), n_words=pa.array(w.count), n_hit=pa.array(n_hit), n_items=pa.array([len(x) for x in items], pa.int64()),
             items_sha256=pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]), contaminated=pa.array((n_hit > 0) & (share * n_hit >= w.count)),
-            **{c: batch.column(c) for c in batch.schema.names if c.startswith("__k_")},
+            **carried(batch, home),
         )
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name.startswith("__k_"))
-    out = map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean{kinds}", "__text")
-    return out.withColumnsRenamed({f"__k_{c}": f"kept_{c}" for c in keep or []})
+    return map_chunks(source, per_chunk, f"doc_id {source.schema['__id'].dataType.simpleString()}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean{carried_schema(source, home)}", "__text")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

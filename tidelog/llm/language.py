@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import map_chunks, offsets, record, stage, text_bytes
+from tidelog.llm._shared import carried, carried_schema, kept, map_chunks, offsets, record, stage, text_bytes
 from tidelog.llm._words import _LOWER, mix
 
 #: Lengths in bytes; an n-gram's length is in its code's top byte.
@@ -124,7 +124,7 @@ def predict(documents: DataFrame, model: Model, keep: list[str] | None = None) -
     go to the first language in order of name. Rows are independent, and other columns play no part.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    source = documents.select(F.col("doc_id"), F.col("text").alias("__text"), *[F.col(c).alias(f"__k_{i}") for i, c in enumerate(keep or [])])
+    source, home = kept(documents, keep)
     letter = regex.compile(r"\p{L}")
 
     def per_chunk(batch, column):
@@ -145,11 +145,9 @@ def predict(documents: DataFrame, model: Model, keep: list[str] | None = None) -
         names = np.array([*m.languages, UND], object)
         best[und] = len(m.languages)
         score[und] = 0
-        return record(doc_id=batch.column("doc_id"), lang_pred=pa.array(names[best], pa.string()), score=pa.array(score), **{c: batch.column(c) for c in batch.schema.names if c.startswith("__k_")})
+        return record(doc_id=batch.column("__id"), lang_pred=pa.array(names[best], pa.string()), score=pa.array(score), **carried(batch, home))
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
-    out = map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double{kinds}", "__text")
-    return out.withColumnsRenamed({f"__k_{i}": f"kept_{c}" for i, c in enumerate(keep or [])})
+    return map_chunks(source, per_chunk, f"doc_id {source.schema['__id'].dataType.simpleString()}, lang_pred string, score double{carried_schema(source, home)}", "__text")
 
 
 def remainder(doc_id: str, of: int):

@@ -7,7 +7,8 @@ a suffix array of that depth does. Positions whose rank is unique leave, as noth
 A run of l lines is named by its two overlapping runs of the largest power of two, so the suffixes that agree in l lines,
 an interval of the suffix array with that common prefix, are a group of equal names. For each position the shortest run
 of at least `min_words` words that begins there, and that ends there, is looked up: any longer repeated run is the union
-of such ones, each with its earlier copy. The interval's first position stays; the others' lines are deleted.
+of such ones, each with its earlier copy, so a document's overlapping ones are joined to its maximal repeated runs. The
+interval's first position stays; the others' lines are deleted.
 
 Only repeated lines take part, as numbers; texts are read twice and never sorted. All names, counts and first positions
 come from sums and minima with partial aggregation and joins that Spark may split, so a very common line is no hot task.
@@ -20,11 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import map_chunks, offsets, record, stage, text_bytes
+from tidelog.llm._shared import BROADCAST_BYTES, Stages, bounded, map_batches, map_chunks, offsets, record, text_bytes
 from tidelog.llm._words import SPACES, mix, powers, words
 
-#: Up to so many documents with deletions (about 50 bytes each) are broadcast; beyond, texts are joined by a shuffle.
-BROADCAST_DOCS = 500_000
 _U = np.uint64
 
 
@@ -66,7 +65,7 @@ def lines(documents: DataFrame) -> DataFrame:
     return map_chunks(source, per_chunk, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, key bigint, i int, h bigint, w int")
 
 
-def _ranks(keys: DataFrame, by: list[str]) -> DataFrame:
+def _ranks(keys: DataFrame, by: list[str], stage: Stages) -> DataFrame:
     """`by` and r, ascending in their order; only what occurs twice."""
     twice = keys.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by)
     return stage(twice.orderBy(*by).withColumn("r", F.monotonically_increasing_id()), "ranks")
@@ -105,16 +104,43 @@ def _shortest(min_words: int):
     return run
 
 
+def _joined(batches):
+    """Each document's overlapping or touching runs as one: its maximal runs, as s and the first line after it."""
+    for b in batches:
+        at, flat = np.asarray(b.column("x").offsets), b.column("x").values
+        s, e = np.asarray(flat.field("s")).astype(np.int64), np.asarray(flat.field("e")).astype(np.int64)
+        doc = np.repeat(np.arange(b.num_rows), np.diff(at))
+        s, e = s[at[0] : at[-1]], e[at[0] : at[-1]]
+        wide = (int(e.max(initial=0)) + 1) * doc  # documents lie apart on one line
+        order = np.argsort(s + wide, kind="stable")
+        s, e, doc, wide = s[order], e[order], doc[order], wide[order]
+        reach = np.maximum.accumulate(e + wide) if len(e) else e
+        new = np.concatenate(([True], (s + wide)[1:] > reach[:-1])) if len(s) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(s)) - 1 if len(first) else first
+        count = np.bincount(doc[first], minlength=b.num_rows)
+        cuts = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.StructArray.from_arrays([pa.array(s[first].astype(np.int32)), pa.array((reach[last] - wide[last]).astype(np.int32) if len(first) else np.zeros(0, np.int32))], names=["s", "e"]))
+        yield record(doc_id=b.column("doc_id"), key=b.column("key"), cut=cuts)
+
+
 def repeated_runs(documents: DataFrame, min_words: int = 50) -> DataFrame:
-    """doc_id, key, s, l: lines s to s + l - 1 of a document are a run of at least min_words words with an earlier copy, in order of doc_id, then line."""
+    """doc_id, key, cut: a row for each document with later copies, and in `cut` its maximal runs of lines s up to before e that consist of runs of at least min_words words with an earlier copy, in order of doc_id, then line.
+
+    A row holds numbers of one document's lines; no list spans documents.
+    """
+    with Stages(bounded(documents.sparkSession), "lines") as stage:
+        return stage.result(_repeated(documents, min_words, stage))
+
+
+def _repeated(documents: DataFrame, min_words: int, stage: Stages) -> DataFrame:
     every = stage(lines(documents), "lines")
-    ranks = _ranks(every, ["h"])
+    ranks = _ranks(every, ["h"], stage)
     level = stage(every.join(ranks, "h").select("doc_id", "key", "i", "w", "r").dropDuplicates(["key", "i"]), "level")
     kind = every.schema["doc_id"].dataType.simpleString()
     grouped = level.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("i", "w"))).alias("x")).select("doc_id", "key", "x")
-    windows = stage(grouped.mapInArrow(_shortest(min_words), f"doc_id {kind}, key bigint, s int, l int"), "windows")
+    windows = stage(map_batches(grouped, _shortest(min_words), f"doc_id {kind}, key bigint, s int, l int"), "windows")
     longest = windows.agg(F.max("l")).first()[0] or 0
-    found, k = [], 0
+    found, k = [windows.select("doc_id", "key", "s", "l", F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).limit(0)], 0
     level = level.select("key", "i", "r")
     while (1 << k) <= longest:
         mine = windows.filter((F.col("l") >= 1 << k) & (F.col("l") < 2 << k))
@@ -123,17 +149,18 @@ def repeated_runs(documents: DataFrame, min_words: int = 50) -> DataFrame:
         found.append(named.select("doc_id", "key", "s", "l", "a", "b"))
         if (2 << k) <= longest:
             pairs = stage(level.withColumnRenamed("r", "a").join(level.select("key", (F.col("i") - (1 << k)).alias("i"), F.col("r").alias("b")), ["key", "i"]), "pairs")
-            level = stage(pairs.join(_ranks(pairs, ["a", "b"]), ["a", "b"]).select("key", "i", "r"), "level")
+            level = stage(pairs.join(_ranks(pairs, ["a", "b"], stage), ["a", "b"]).select("key", "i", "r"), "level")
         k += 1
-    if not found:
-        return windows.limit(0)
     all_ = found[0]
     for x in found[1:]:
         all_ = all_.union(x)
     all_ = stage(all_, "named")
     at = F.struct("doc_id", "key", "s")
-    first = all_.groupBy("l", "a", "b").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return all_.join(first, ["l", "a", "b"]).filter(at > F.col("first")).select("doc_id", "key", "s", "l")
+    # Staged, so that both sides of the join below are shuffled for it alone and Spark may split a common run's rows.
+    first = stage(all_.groupBy("l", "a", "b").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "first")
+    later = all_.join(first.hint("shuffle_merge"), ["l", "a", "b"]).filter(at > F.col("first")).select("doc_id", "key", "s", (F.col("s") + F.col("l")).alias("e"))
+    by_doc = later.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("s", "e")).alias("x")).select("doc_id", "key", "x")
+    return map_batches(by_doc, _joined, f"doc_id {kind}, key bigint, cut array<struct<s:int,e:int>>")
 
 
 def deduplicate_lines(documents: DataFrame, min_words: int = 50) -> DataFrame:
@@ -142,12 +169,13 @@ def deduplicate_lines(documents: DataFrame, min_words: int = 50) -> DataFrame:
     Lines end at a line break; equal lines are equal in all characters. A run is deleted with at least min_words words
     (of other than ASCII white space), wherever its earlier copy is, in another document or the same one; blank lines
     belong to runs like others. Null texts stay null with no lines; an empty text has one line. Rows equal in doc_id and
-    text are one document and stay equal. Columns named n_lines or n_deleted already are replaced.
+    text are one document and stay equal. Texts of any length take part whole. An empty table gives an empty one. Columns
+    named n_lines or n_deleted already are replaced; others of whatever names stay.
     """
     columns = documents.columns
-    runs = stage(repeated_runs(documents, min_words).groupBy("key").agg(F.collect_list(F.struct("s", "l")).alias("__cut")), "runs")
-    few = runs.count() <= BROADCAST_DOCS
-    keyed = documents.withColumn("__key", _key()).join((F.broadcast(runs) if few else runs).withColumnRenamed("key", "__key"), "__key", "left")
+    runs = repeated_runs(documents, min_words).select(F.col("key").alias("__key"), F.col("cut").alias("__cut"))
+    size = runs.agg(F.sum(F.size("__cut") * 8 + 64)).first()[0] or 0
+    keyed = documents.withColumn("__key", _key()).join(F.broadcast(runs) if size <= BROADCAST_BYTES else runs.hint("shuffle_merge"), "__key", "left")
 
     def per_batch(batches):
         for b in batches:
@@ -155,13 +183,19 @@ def deduplicate_lines(documents: DataFrame, min_words: int = 50) -> DataFrame:
             out, total, gone = [], [], []
             for t, cut in zip(texts, cuts, strict=True):
                 n = 0 if t is None else t.count("\n") + 1
-                dead = {i for c in cut or () for i in range(c["s"], c["s"] + c["l"])}
-                out.append("\n".join([x for i, x in enumerate(t.split("\n")) if i not in dead]) if dead else t)
+                dead = 0
+                if cut:
+                    rows, at, left = t.split("\n"), 0, []
+                    for c in cut:
+                        left += rows[at : c["s"]]
+                        at, dead = c["e"], dead + c["e"] - c["s"]
+                    t = "\n".join(left + rows[at:])
+                out.append(t)
                 total.append(n)
-                gone.append(len(dead))
+                gone.append(dead)
             kept = {c: b.column(c) for c in b.schema.names if c not in ("__cut", "__key", "text", "n_lines", "n_deleted")}
             yield pa.RecordBatch.from_pydict({c: (pa.array(out, pa.string()) if c == "text" else kept[c]) for c in names} | {"n_lines": pa.array(total, pa.int64()), "n_deleted": pa.array(gone, pa.int64())})
 
     names = [c for c in columns if c not in ("n_lines", "n_deleted")]
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in names)
-    return keyed.mapInArrow(per_batch, f"{kinds}, n_lines bigint, n_deleted bigint")
+    return map_batches(keyed, per_batch, f"{kinds}, n_lines bigint, n_deleted bigint")

@@ -25,10 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import chunks, local_path, map_chunks, new_path, record, stage
+from tidelog.llm._shared import bounded, carried, carried_schema, chunks, kept, local_path, map_batches, map_chunks, map_groups, new_path, record, stage
 from tidelog.llm._words import SPACES, mix, words
 from tidelog.llm.language import remainder
-from tidelog.shipping import ship
 
 #: Bytes of text for each shard, about; and the least number of shards.
 SHARD_BYTES, SHARDS = 24 << 20, 64
@@ -145,7 +144,7 @@ def _hot(texts: DataFrame, shards: int) -> np.ndarray:
 
 def train(documents: DataFrame) -> dict:
     """Count and write a model of all rows; what the workers need to use it."""
-    spark = ship(documents.sparkSession)
+    spark = bounded(documents.sparkSession)
     texts = documents.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
@@ -327,7 +326,7 @@ def score(documents: DataFrame, model: dict, keep: list[str] | None = None) -> D
     base_score: log10 under single words with one added to each count; score: the model's. Null and empty texts are an
     end alone. Rows are independent, and other columns play no part. A model of no texts gives equal chances to all.
     """
-    source = documents.select(F.col("doc_id"), F.col("text").alias("__text"), *[F.col(c).alias(f"__k_{i}") for i, c in enumerate(keep or [])])
+    source, home = kept(documents, keep)
 
     def run(batches):
         reader = Reader(model)
@@ -337,14 +336,11 @@ def score(documents: DataFrame, model: dict, keep: list[str] | None = None) -> D
             n = len(column)
             base = np.log10((count + 1) / (model["N"] + model["V"] + 1))
             yield record(
-                doc_id=batch.column("doc_id"), n_tokens=pa.array(np.bincount(doc, minlength=n).astype(np.int64)), n_known=pa.array(np.bincount(doc[count > 0], minlength=n).astype(np.int64)),
-                base_score=pa.array(np.bincount(doc, base, minlength=n)), score=pa.array(np.bincount(doc, np.log10(p), minlength=n)), **{c: batch.column(c) for c in batch.schema.names if c.startswith("__k_")},
+                doc_id=batch.column("__id"), n_tokens=pa.array(np.bincount(doc, minlength=n).astype(np.int64)), n_known=pa.array(np.bincount(doc[count > 0], minlength=n).astype(np.int64)),
+                base_score=pa.array(np.bincount(doc, base, minlength=n)), score=pa.array(np.bincount(doc, np.log10(p), minlength=n)), **carried(batch, home),
             )
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
-    ship(documents.sparkSession)
-    out = source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base_score double, score double{kinds}")
-    return out.withColumnsRenamed({f"__k_{i}": f"kept_{c}" for i, c in enumerate(keep or [])})
+    return map_batches(source, run, f"doc_id {source.schema['__id'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base_score double, score double{carried_schema(source, home)}")
 
 
 def score_held_out(documents: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:

@@ -22,11 +22,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm._components import components
-from tidelog.llm._shared import map_chunks, record, stage
+from tidelog.llm._shared import Stages, bounded, if_small, map_batches, map_chunks, map_groups, record
 from tidelog.llm._words import SPACES, mix, shingles, words
 
 ROWS, GROUPS = 3, 16
@@ -34,14 +34,12 @@ ROWS, GROUPS = 3, 16
 AMISS = 1e-5
 #: A first-collection key of more nodes is dealt out by the second collection's keys.
 HOT = 20_000
-#: Up to so many node ids (8 bytes each) are broadcast; beyond, documents are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 #: Members compared with one pivot in one task.
 SALT = 128
 #: Nodes of at least this similarity with their pivot, in percent, are compared among themselves by their differences from it.
 NEAR = 50
 #: Nodes of each side in one task of that.
-AROUND = 4096
+AROUND = 256
 _U = np.uint64
 
 
@@ -109,54 +107,64 @@ def agreeing(groups: int, rows: int, percent: int) -> int:
     return n
 
 
+def _whole_keys(batches, key: str):
+    """Tables of whole keys, from batches in order of the key: each batch's keys that have ended, with what came before of the first."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy()
+        last = int(np.searchsorted(k, k[-1], "left"))
+        if last or held and held[0].column(key)[0].as_py() != k[-1]:
+            yield pa.Table.from_batches([*held, b.slice(0, last)])
+            held = []
+        held.append(b.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _in_task(cross: bool, percent: int, least: int):
-    """Candidate pairs of the keys of one partition. Stars: each node with the middle one of each key; cross: nodes outside the key's main component with the pivots of the key's other nodes."""
+    """Candidate pairs of the keys of one partition, in order of key. Stars: each node with the middle one of each key; cross: nodes outside the key's main component with the pivots of the key's other nodes."""
 
     def run(batches):
-        kept = [b for b in batches if b.num_rows]
-        if not kept:
-            return
-        t = pa.Table.from_batches(kept)
-        key, fp, n, b = *(t.column(x).to_numpy() for x in ("k", "fp", "n")), _unpacked(t.column("b"), np.uint16)
-        if cross:
-            comp, pivot, nth, a = *(t.column(x).to_numpy() for x in ("c", "p", "i")), _unpacked(t.column("s"), np.uint32)
-        order = np.argsort(key, kind="stable")
-        start = _small(key[order])
-        stop = np.append(start[1:], len(order))
-        out_u, out_v = [], []
-        for lo, hi in zip(start[stop - start > 1].tolist(), stop[stop - start > 1].tolist(), strict=True):
-            m = order[lo:hi]
-            if not cross:
-                # The node that agrees most with each table's commonest hash is nearest to all.
-                common = np.zeros(len(m), np.int64)
-                for j in range(b.shape[1]):
-                    _, inverse, count = np.unique(b[m, j], return_inverse=True, return_counts=True)
-                    common += inverse == count.argmax()
-                x = m[np.lexsort((fp[m], -common))[0]]
-                y = m[(b[m] == b[x]).any(axis=1) & (fp[m] != fp[x]) & _alike(n[m], n[x], percent)]
-                out_u.append(fp[y])
-                out_v.append(np.full(len(y), fp[x]))
-                continue
-            names, inverse, count = np.unique(comp[m], return_inverse=True, return_counts=True)
-            if len(names) < 2:
-                continue
-            earlier = slice(0, int(nth[m[0]]))
-            for x in m[inverse != count.argmax()]:
-                y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
-                share, same = b[y] == b[x], a[y] == a[x]
-                y = y[share.any(axis=1) & ~same[:, earlier].any(axis=1) & (share.sum(axis=1) + same.sum(axis=1) >= least)]
-                y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
-                around = np.unique(pivot[y])  # a node meets the pivots of others, which stand for all around them
-                out_u.append(np.full(len(around), fp[x]))
-                out_v.append(around)
-        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v))
-        o = np.lexsort((v, u))
-        u, v = u[o], v[o]
-        first = np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1]))) if len(u) else np.zeros(0, bool)
-        u, v = u[first], v[first]
-        for at in range(0, len(u), 10_000):
-            part = slice(at, at + 10_000)
-            yield record(u=pa.array(u[part]), v=pa.array(v[part]))
+        for t in _whole_keys(batches, "k"):
+            key, fp, n, b = *(t.column(x).to_numpy() for x in ("k", "fp", "n")), _unpacked(t.column("b"), np.uint16)
+            if cross:
+                comp, pivot, nth, a = *(t.column(x).to_numpy() for x in ("c", "p", "i")), _unpacked(t.column("s"), np.uint32)
+            start = _small(key)
+            stop = np.append(start[1:], len(key))
+            out_u, out_v = [], []
+            for lo, hi in zip(start[stop - start > 1].tolist(), stop[stop - start > 1].tolist(), strict=True):
+                m = np.arange(lo, hi)
+                if not cross:
+                    # The node that agrees most with each table's commonest hash is nearest to all.
+                    common = np.zeros(len(m), np.int64)
+                    for j in range(b.shape[1]):
+                        _, inverse, count = np.unique(b[m, j], return_inverse=True, return_counts=True)
+                        common += inverse == count.argmax()
+                    x = m[np.lexsort((fp[m], -common))[0]]
+                    y = m[(b[m] == b[x]).any(axis=1) & (fp[m] != fp[x]) & _alike(n[m], n[x], percent)]
+                    out_u.append(fp[y])
+                    out_v.append(np.full(len(y), fp[x]))
+                    continue
+                names, inverse, count = np.unique(comp[m], return_inverse=True, return_counts=True)
+                if len(names) < 2:
+                    continue
+                earlier = slice(0, int(nth[m[0]]))
+                for x in m[inverse != count.argmax()]:
+                    y = m[(comp[m] != comp[x]) & _alike(n[m], n[x], percent)]
+                    share, same = b[y] == b[x], a[y] == a[x]
+                    y = y[share.any(axis=1) & ~same[:, earlier].any(axis=1) & (share.sum(axis=1) + same.sum(axis=1) >= least)]
+                    y = y[(pivot[y] != pivot[x]) & (pivot[x] != fp[y]) & (pivot[y] != fp[x])]  # those around one pivot have been compared
+                    around = np.unique(pivot[y])  # a node meets the pivots of others, which stand for all around them
+                    out_u.append(np.full(len(around), fp[x]))
+                    out_v.append(around)
+            u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_u, out_v))
+            o = np.lexsort((v, u))
+            u, v = u[o], v[o]
+            first = np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1]))) if len(u) else np.zeros(0, bool)
+            if first.any():
+                yield record(u=pa.array(u[first]), v=pa.array(v[first]))
 
     return run
 
@@ -166,12 +174,13 @@ def _alike(a: np.ndarray, b, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups: int, rows: int) -> DataFrame:
+def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups: int, rows: int, stage: Stages) -> DataFrame:
     """Candidate pairs u, v. nodes: fp, n, a, s, b, and for `cross` c (component) and p (pivot that it has been compared around, or itself). hot: keys dealt out by the second collection."""
     own = ["fp", "n", *(["c", "p", "s"] if cross else []), "b"]
     keyed = nodes.select(*own, F.posexplode("a").alias("i", "h")).select(*own, *(["i"] if cross else []), F.xxhash64("i", "h").alias("k"))
     marked = keyed.join(hot, "k", "left")
-    even = marked.filter("hot IS NULL").drop("hot").repartition("k").mapInArrow(_in_task(cross, percent, agreeing(groups, rows, percent)), "u bigint, v bigint")
+    dealt_out = marked.filter("hot IS NULL").drop("hot").repartition("k").sortWithinPartitions("k")
+    even = map_batches(dealt_out, _in_task(cross, percent, agreeing(groups, rows, percent)), "u bigint, v bigint")
     second = F.posexplode(F.array(*[F.substring("b", 2 * j + 1, 2) for j in range(groups)])).alias("j", "g")
     dealt = marked.filter("hot IS NOT NULL").select("k", "fp", "n", *(["c", "p"] if cross else []), second).withColumn("k", F.xxhash64("k", "j", "g"))
     if not cross:
@@ -260,37 +269,38 @@ def _around(percent: int):
     return run
 
 
-def _compare_around(tried: DataFrame, percent: int) -> DataFrame:
+def _compare_around(tried: DataFrame, percent: int, stage: Stages) -> DataFrame:
     """Links between the near nodes of each pivot, one of them marked `probe`. Blocks of AROUND nodes meet in a task, so a pivot of any number of nodes fits."""
-    size = tried.groupBy("v").agg(F.count("*").alias("all"), F.sum(F.col("probe").cast("int")).alias("out")).filter("out > 0 AND all > 1")
+    size = stage(tried.groupBy("v").agg(F.count("*").alias("all"), F.sum(F.col("probe").cast("int")).alias("out")).filter("out > 0 AND all > 1"), "sizes")
     blocks = lambda c: F.ceil(F.col(c) / AROUND).cast("int")
-    rows = tried.join(size.select("v", blocks("all").alias("m"), blocks("out").alias("k")), "v")
+    rows = tried.join(if_small(size.select("v", blocks("all").alias("m"), blocks("out").alias("k")), 32), "v")
     block = lambda salt, n: F.pmod(F.xxhash64("u", F.lit(salt)), F.col(n)).cast("int")
     members = rows.select("u", "v", "n", "link", "x", F.lit(False).alias("o"), block(1, "m").alias("j"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
     probes = rows.filter("probe").select("u", "v", "n", "link", "x", F.lit(True).alias("o"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), block(2, "k").alias("i"))
-    return members.union(probes).groupBy("v", "i", "j").applyInArrow(_around(percent), "u bigint, v bigint")
+    # Dealt out by block, not by pivot alone, as the join may have left them.
+    met = members.union(probes).repartition("v", "i", "j").groupBy("v", "i", "j")
+    return map_groups(met, tried.sparkSession, _around(percent), "u bigint, v bigint")
 
 
-def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, near: int) -> DataFrame:
+def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, near: int, stage: Stages) -> DataFrame:
     """u, v, n, link, x of pairs, by their full sets, as _jaccard() gives them. A set moves once to its node and once for each pair."""
     ids = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
     wanted = stage(nodes.join(ids, "fp").select("fp", F.col("doc").alias("doc_id")), "wanted")
-    few = wanted.count() <= BROADCAST_IDS
     asked = wanted.select("doc_id").distinct()
-    source = documents.select("doc_id", "text").join(F.broadcast(asked) if few else asked, "doc_id", "left_semi")
+    source = documents.select("doc_id", "text").join(if_small(asked, 16), "doc_id", "left_semi")
 
     def per_chunk(batch, column):
         found, first = shingles(words(column, SPACES), shingle)
         return record(fp=pa.array(_fingerprints(found, first)), s=pa.array([found[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()))
 
-    sets = map_chunks(source, per_chunk, "fp bigint, s binary").join(F.broadcast(wanted.select("fp")) if few else wanted.select("fp"), "fp", "left_semi")
+    sets = map_chunks(source, per_chunk, "fp bigint, s binary").join(if_small(wanted.select("fp"), 16), "fp", "left_semi")
     sets = stage(sets.dropDuplicates(["fp"]), "sets")
     size = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts"))
     star = pairs.join(size, "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"))
     members = star.join(sets.withColumnRenamed("fp", "u"), "u").select("u", "v", "part", F.lit(0).alias("own"), "s")
     pivots = star.select("v", "part").distinct().join(sets.withColumnRenamed("fp", "v"), "v").select(F.col("v").alias("u"), "v", "part", F.lit(1).alias("own"), "s")
     dealt = members.union(pivots).repartition("v", "part").sortWithinPartitions("v", "part", F.desc("own"))
-    return dealt.mapInArrow(_jaccard(percent, near), "u bigint, v bigint, n bigint, link boolean, x binary")
+    return map_batches(dealt, _jaccard(percent, near), "u bigint, v bigint, n bigint, link boolean, x binary")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, groups: int = GROUPS) -> DataFrame:
@@ -300,34 +310,43 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, r
     intersection >= percent * size of the union. component_id: the smallest doc_id reachable; kept: that one itself.
     Null, empty and wordless texts have the empty set and are linked with nothing. A document of null doc_id gets
     component_id null and is kept. Rows of equal doc_id share their links, and stay as they are. Other columns play no part.
+    Very long texts are a set like others: hashed whole, in pieces of memory by their own length.
     """
+    with Stages(bounded(documents.sparkSession), "neardup") as stage:
+        return stage.result(_found(documents, shingle, percent, rows, groups, stage))
+
+
+def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups: int, stage: Stages) -> DataFrame:
     # The input's partitions may be few and large: nothing below depends on them.
     found = stage(signatures(documents, shingle, rows, groups), "signatures")
     nodes = stage(found.filter("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("a").alias("a"), F.first("s").alias("s"), F.first("b").alias("b")), "nodes")
     counts = nodes.select(F.posexplode("a").alias("i", "h")).groupBy(F.xxhash64("i", "h").alias("k")).count()
     hot = stage(counts.filter(F.col("count") > HOT).select("k", F.lit(True).alias("hot")), "hot")
-    stars = stage(_pairs(nodes, hot, False, percent, groups, rows), "pairs")
-    tried = stage(_compare(documents, nodes, stars, shingle, percent, NEAR), "tried")
-    links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried.withColumn("probe", ~F.col("link")), percent)), "links")
+    stars = stage(_pairs(nodes, hot, False, percent, groups, rows, stage), "pairs")
+    tried = stage(_compare(documents, nodes, stars, shingle, percent, NEAR, stage), "tried")
+    links = stage(tried.filter("link").select("u", "v").union(_compare_around(tried.withColumn("probe", ~F.col("link")), percent, stage)), "links")
     # The joins keep one strategy at every size, so what moves grows with the input.
-    labels = components(links).withColumnRenamed("u", "fp").hint("shuffle_merge")
+    labels = components(links, stage).withColumnRenamed("u", "fp").hint("shuffle_merge")
     around = tried.select(F.col("u").alias("fp"), F.col("v").alias("p")).hint("shuffle_merge")
     named = nodes.select("fp", "n", "a", "s", "b").join(labels, "fp", "left").join(around, "fp", "left").withColumns({"c": F.coalesce("c", "fp"), "p": F.coalesce("p", "fp")})
-    across = stage(_pairs(named, hot, True, percent, groups, rows), "pairs")
-    # First each node meets one more pivot, of those offered the one with most nodes near it.
+    across = stage(_pairs(named, hot, True, percent, groups, rows, stage), "pairs")
+    # First each node meets one more pivot, of those offered the one with most nodes near it. A node with a link to one
+    # of at least NEAR with that pivot is itself at least `far` like the pivot, as 1 - similarity is a distance.
+    far = max(0, NEAR - (100 - percent))
     near = tried.groupBy(F.col("v").alias("q")).agg(F.count("*").alias("m"))
     offered = across.withColumnRenamed("v", "q").join(near, "q", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     second = stage(offered.groupBy("u").agg(F.max(F.struct("m", "q")).alias("x")).select("u", F.col("x.q").alias("v")), "pairs")
-    again = stage(_compare(documents, nodes, second, shingle, percent, 0), "tried")
+    again = stage(_compare(documents, nodes, second, shingle, percent, far, stage), "tried")
     both = stage(tried.withColumn("probe", F.lit(False)).union(again.withColumn("probe", F.lit(True))), "near")
-    more = stage(again.filter("link").select("u", "v").union(_compare_around(both, percent)), "links")
+    more = stage(again.filter("link").select("u", "v").union(_compare_around(both, percent, stage)), "links")
     # Then the other pivots, and nodes without any, unless those were near the same one.
     home = both.select(F.col("u").alias("q"), F.col("v").alias("b"), F.lit(True).alias("met")).distinct()
-    left = offered.join(second.withColumnRenamed("v", "b"), "u").join(home, ["q", "b"], "left").filter("q <> b AND NOT (m = 0 AND met IS NOT NULL)").select("u", F.col("q").alias("v"))
-    last = stage(_compare(documents, nodes, stage(left, "pairs"), shingle, percent, 0), "tried")
+    met = second.withColumnRenamed("v", "b").join(again.select("u", F.lit(True).alias("there")), "u", "left")
+    left = offered.join(met, "u").join(home, ["q", "b"], "left").filter("q <> b AND NOT (m = 0 AND met IS NOT NULL AND there IS NOT NULL)").select("u", F.col("q").alias("v"))
+    last = stage(_compare(documents, nodes, stage(left, "pairs"), shingle, percent, far, stage), "tried")
     reached = both.drop("probe").withColumn("probe", F.lit(False)).join(near.select(F.col("q").alias("v")), "v", "left_semi").select(*both.columns)
-    more = more.union(last.filter("link").select("u", "v")).union(_compare_around(reached.union(last.withColumn("probe", F.lit(True))), percent))
-    labels = stage(components(links.union(more)), "labels").withColumnRenamed("u", "fp")
+    more = more.union(last.filter("link").select("u", "v")).union(_compare_around(reached.union(last.withColumn("probe", F.lit(True))), percent, stage))
+    labels = components(links.union(more), stage).withColumnRenamed("u", "fp")
     member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
     least = member.groupBy("c").agg(F.min("doc").alias("component_id"))
     member = member.join(least, "c").select("fp", "component_id")

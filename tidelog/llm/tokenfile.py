@@ -18,9 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm._shared import chunks, new_path
+from tidelog.llm._shared import bounded, chunks, map_batches, new_path
 from tidelog.llm.bpe import _byte_chars
-from tidelog.shipping import ship
 
 #: Bytes of text in a file, about.
 FILE_BYTES = 32 << 20
@@ -73,7 +72,7 @@ def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes
     end_id follows each document's ids. Null and empty texts have it alone. Null doc_ids come first; rows of equal doc_id
     are in order of their texts. An empty table gives an empty file. Other columns aren't written.
     """
-    spark = ship(documents.sparkSession)
+    spark = bounded(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -95,7 +94,7 @@ def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes
     files = max(1, -(-size // file_bytes), spark.sparkContext.defaultParallelism)
     ordered = source.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id", "text")
     options = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(64 << 20)}
-    ordered.mapInArrow(run, f"doc_id {kind}, part int, place bigint, n_tokens bigint, ids array<int>").write.options(**options).orc(out)
+    map_batches(ordered, run, f"doc_id {kind}, part int, place bigint, n_tokens bigint, ids array<int>").write.options(**options).orc(out)
 
 
 def read_tokens(spark: SparkSession, path: str, kind: T.DataType | None = None) -> DataFrame:
@@ -121,7 +120,7 @@ def checksums(tokens: DataFrame) -> DataFrame:
             crc = [zlib.crc32(values[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "start": b.column("start"), "n_tokens": b.column("n_tokens"), "ids_crc32": pa.array(crc, pa.int64())})
 
-    return tokens.mapInArrow(run, f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return map_batches(tokens, run, f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def write_and_check(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
