@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, decontaminate, language, linedup, neardup
-from tidelog.llm._shared import new_path, read
+from tidelog.llm._shared import drop_path, new_path, read
 from tidelog.llm.queries import vocabulary
 
 #: Documents of less of their language than this are none of the languages learned.
@@ -53,12 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's rows are written to the shared folder and reread."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over `documents`; each one's rows are written to the shared folder and reread, and go when the next one's are there."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last:
+            drop_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
 
 
