@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm._components import components
-from tidelog.llm._shared import Stages, bounded, if_small, map_batches, map_chunks, map_groups, record
+from tidelog.llm._shared import Stages, bounded, if_small, map_batches, map_chunks, map_groups, record, stage
 from tidelog.llm._words import SPACES, mix, shingles, words
 
 ROWS, GROUPS = 3, 16
@@ -356,6 +356,11 @@ def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups:
 
 
 def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
-    """One document of each group of near-duplicates, with its own columns; of documents with equal doc_id and text, one row."""
-    found = near_duplicates(documents, **options).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return documents.join(found, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """The documents that near_duplicates() keeps, with their own columns; rows of null doc_id stay.
+
+    A doc_id goes if none of its rows is kept. What is looked up is the doc_ids that go, by a broadcast behind a check of
+    its size, so texts aren't shuffled for it before that bound.
+    """
+    gone = near_duplicates(documents, **options).groupBy("doc_id").agg(F.max("kept").alias("k")).filter("NOT k AND doc_id IS NOT NULL")
+    gone = stage(gone.select(F.col("doc_id").alias("__gone")), "gone")
+    return documents.join(if_small(gone, 16), F.col("doc_id") == F.col("__gone"), "left_anti")
