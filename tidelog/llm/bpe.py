@@ -12,16 +12,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidelog.llm._shared import map_chunks, record
+from tidelog.llm._shared import carried, carried_schema, kept, map_chunks, record
 
 _NONE = np.uint32(0xFFFFFFFF)
 #: Longer words, in bytes, get a tree of their own.
@@ -37,16 +35,15 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-def newer_letters() -> str:
-    """Letters and numbers of the regex module that Python's own, older Unicode tables don't have, as the tokenizer's tables don't."""
-    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
-    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
-
-
 class Bpe:
-    """What a worker needs of one tokenizer file with a byte-level alphabet and word ends."""
+    """What a worker needs of one tokenizer file with a byte-level alphabet and word ends.
+
+    Texts with characters that Python's Unicode tables lack are normalised and split by the library itself, whose tables
+    may have them; their words are encoded here like all others.
+    """
 
     def __init__(self, path: str):
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -56,11 +53,8 @@ class Bpe:
         # White space by its Unicode property, as the library's regex engine has it.
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")["pattern"]["Regex"]
         split = split.replace(r"\s", r"\p{White_Space}")
-        late = newer_letters()
         self.find = regex.compile(split).findall
-        self.find_late = regex.compile("(?V1)" + split.replace(r"[\p{L}]", rf"[\p{{L}}--[{late}]]").replace(r"[\p{N}]", rf"[\p{{N}}--[{late}]]").replace(r"[^\p{White_Space}\p{L}\p{N}]", rf"[^\p{{White_Space}}[[\p{{L}}\p{{N}}]--[{late}]]]")).findall
-        self.late = frozenset(late)
-        self.high = re.compile(f"[^\x00-{chr(min(map(ord, late), default=0x10FFFF) - 1)}]").search
+        self.assigned: set[str] = set()  # characters seen that Python's tables have
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
@@ -68,6 +62,7 @@ class Bpe:
         for token, i in [*vocab.items(), *self.added.items()]:
             self.tokens[i] = token
         chars = _byte_chars()
+        self.byte = {c: i for i, c in enumerate(chars)}
         self.inner = np.array([vocab[c] for c in chars], np.uint32)
         self.final = np.array([vocab[c + end] for c in chars], np.uint32)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -211,13 +206,30 @@ class Bpe:
             if part in self.added:
                 out.append(self.added[part])
                 continue
+            if not part.isascii() and self._unassigned(part):
+                out += self._split_by_library(part)
+                continue
             if self.nfc:
                 part = unicodedata.normalize("NFC", part)
             if self.lower:  # character by character: a final sigma has no form of its own
                 part = part.replace("Σ", "σ").lower()
-            out += self.find(part) if part.isascii() or not self.high(part) or self.late.isdisjoint(part) else self.find_late(part)
+            out += self.find(part)
         return out
 
+    def _unassigned(self, text: str) -> bool:
+        fresh = set(text) - self.assigned
+        odd = {c for c in fresh if unicodedata.category(c) == "Cn"}
+        self.assigned |= fresh - odd
+        return bool(odd)
+
+    def _split_by_library(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text) if self.library.normalizer else text)
+        return [bytes(self.byte[c] for c in w).decode() for w, _ in words]
+
     def learn(self, texts: list[list[str | int]]) -> None:
         """Encode what isn't remembered."""
         if len(self.known) > REMEMBERED:
@@ -253,9 +265,8 @@ def encode(documents: DataFrame, path: str, ids: bool = False, digests: bool = T
     Null and empty texts have no tokens and decode to the empty string. Rows are independent: repeated rows, null doc_ids
     and other columns, of whatever names, are left as they are.
     """
-    source = documents.select(F.col("doc_id"), F.col("text").alias("__text"), *[F.col(c).alias(f"__k_{i}") for i, c in enumerate(keep or [])])
-    kinds = [f"doc_id {source.schema['doc_id'].dataType.simpleString()}", "n_tokens bigint", *["ids_sha256 string", "decoded_sha256 string"] * digests, *["ids array<int>", "decoded string"] * ids]
-    kinds += [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:]]
+    source, home = kept(documents, keep)
+    kinds = [f"doc_id {source.schema['__id'].dataType.simpleString()}", "n_tokens bigint", *["ids_sha256 string", "decoded_sha256 string"] * digests, *["ids array<int>", "decoded string"] * ids]
 
     def per_chunk(batch, column):
         bpe = load(path)
@@ -265,11 +276,11 @@ def encode(documents: DataFrame, path: str, ids: bool = False, digests: bool = T
         rows = [[known[w] for w in t] for t in texts]
         joined = [" ".join([x[0] for x in r]) for r in rows]
         decoded = [" ".join([x[1] for x in r]) for r in rows]
-        out = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array([sum([x[2] for x in r]) for r in rows], pa.int64())}
+        out = {"doc_id": batch.column("__id"), "n_tokens": pa.array([sum([x[2] for x in r]) for r in rows], pa.int64())}
         if digests:
             out |= {k: pa.array([hashlib.sha256(x.encode()).hexdigest() for x in v], pa.string()) for k, v in (("ids_sha256", joined), ("decoded_sha256", decoded))}
         if ids:
             out |= {"ids": pa.array([[int(i) for i in x.split()] for x in joined], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
-        return record(**out, **{c: batch.column(c) for c in batch.schema.names if c.startswith("__k_")})
+        return record(**out, **carried(batch, home))
 
-    return map_chunks(source, per_chunk, ", ".join(kinds), "__text").withColumnsRenamed({f"__k_{i}": f"kept_{c}" for i, c in enumerate(keep or [])})
+    return map_chunks(source, per_chunk, ", ".join(kinds) + carried_schema(source, home), "__text", most=1 << 20)
