@@ -155,7 +155,7 @@ def test_vectors_and_pages_empty_null_and_repeated(spark):
     assert topk.top_k(spark.createDataFrame([], v)).count() == 0
     rows = [(0, [1.0, 0.0], "a"), (50, [1.0, 0.0], "b"), (1, [1.0, 0.0], None), (1, [1.0, 0.0], "c"), (None, [9.0, 9.0], "d"), (2, [], "e")]
     got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, v), every=50, k=2).collect()))
-    assert got == [(0, 1, 1, 65536), (0, 2, 50, 65536), (50, 1, 0, 65536), (50, 2, 1, 65536)]
+    assert got == [(0, 1, 1, 65536), (0, 2, 1, 65536), (50, 1, 0, 65536), (50, 2, 1, 65536)]
     p = "page_id bigint, url string, html string, text string, n_chars string"
     assert html.extract(spark.createDataFrame([], p)).count() == 0
     pages = [(1, None, None, "x", "y"), (None, "u", "", "x", "y"), (2, "u", "<nav><a href=x>Menu</a></nav>", "x", "y")]
@@ -171,6 +171,38 @@ def write(tables, folder):
     return str(folder)
 
 
+def exact_top(rows, every, k):
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None]
+    out = []
+    for a, (q, v) in enumerate(whole):
+        if q % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w, strict=False)), i) for b, (i, w) in enumerate(whole) if b != a)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("query_bytes", [300_000, 1 << 20])
+def test_top_k_of_repeated_ids_ties_and_long_vectors(spark, monkeypatch, query_bytes):
+    monkeypatch.setattr(topk, "QUERY_BYTES", query_bytes)
+    r = random.Random(6)
+    vector = lambda n: [r.choice((0.0, r.uniform(-1, 1), r.gauss(0, 40))) for _ in range(n)]
+    rows = [(r.randrange(300), vector(r.choice((0, 3, 8, 40)))) for _ in range(400)]
+    rows += [rows[3], rows[3], (0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [0.0]), (50, []), (7, None), (None, [1.0]), (100, vector(3000)), (101, vector(3000))]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<double>, row string").repartition(3)
+    assert sorted(map(tuple, topk.top_k(df, every=50, k=5).collect())) == exact_top(rows, 50, 5)
+
+
+def test_top_k_stops_with_a_proof():
+    r = np.random.default_rng(3)
+    values = r.integers(-30, 30, (2000, 64))
+    values[:5] = 90
+    values[5:] //= 2
+    block = topk.Block.build(np.arange(2000), np.arange(2000), values)
+    query, row, score = block.best(np.array([0]), values[:1], 4, np.full(1, -np.inf))
+    assert set(row[np.argsort(-score)][:4]) == {1, 2, 3, 4} and len(row) <= 2000 / 64
+    assert 0 < block.touched < len(block.row) / 10
+
+
 def test_pipeline_on_planted_documents(spark, tmp_path):
     from tokenizers import Tokenizer
 
