@@ -88,7 +88,7 @@ def contamination(docs, items, window, share):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1, 1 << 20])
+@pytest.mark.parametrize("block_bytes", [30, 1 << 20])
 def test_contamination(spark, monkeypatch, block_bytes):
     monkeypatch.setattr(decontaminate.tables, "__defaults__", (*decontaminate.tables.__defaults__[:-1], block_bytes))
     r = random.Random(2)
