@@ -100,40 +100,61 @@ def test_contamination(spark, monkeypatch, block_bytes):
     assert got == contamination(docs, items, 5, 20)
 
 
+def by_hand(counts):
+    """Discounts for counts of 1, 2 and more."""
+    n1, n2, n3, n4 = (sum(c == i for c in counts) for i in (1, 2, 3, 4))
+    if not n1 or not n2:
+        return 0.5, 0.75, 1.0
+    y = n1 / (n1 + 2 * n2)
+    third = 3 - 4 * y * n4 / n3 if n3 else 1.5
+    return max(0.05, min(0.95, 1 - 2 * y * n2 / n1)), max(0.05, min(1.9, 2 - 3 * y * n3 / n2)), max(0.05, min(2.8, third))
+
+
 def kneser_ney(rows):
     begin, end = object(), object()
     tokens = {i: [*re.findall(SPACE_WORD, lower(t)), end] for i, t in rows}
     held = {i: remainder(i, 7) == 2 for i in tokens}
-    pairs, count = Counter(), Counter()
+    count, triples, pairs = Counter(), Counter(), Counter()
     for i, w in tokens.items():
         if not held[i]:
-            pairs.update(zip([begin, *w], w, strict=False))
             count.update(w)
-    k, after = Counter(b for _, b in pairs), defaultdict(list)
-    for (a, _), c in pairs.items():
-        after[a].append(c)
-    having = lambda values: [sum(x == i for x in values) for i in range(1, 5)]
-    d, e = [0, *lm.discounts(having(pairs.values()))], [0, *lm.discounts(having(k.values()))]
-    total, n = sum(k.values()), sum(count.values())
-    rest = sum(e[min(x, 3)] for x in k.values()) / total
-
-    def p(a, b):
-        low = max(0, k[b] - e[min(k[b], 3)]) / total + rest / (len(k) + 1)
-        if a not in after:
-            return low
-        seen, c = sum(after[a]), pairs[a, b]
-        return max(0, c - d[min(c, 3)]) / seen + sum(d[min(x, 3)] for x in after[a]) / seen * low
-
-    out = {}
+            pairs[begin, w[0]] += 1
+            triples.update(zip([begin, *w], w, w[1:], strict=False))
+    pairs.update((b, c) for _, b, c in triples)
+    single = Counter(b for _, b in pairs)
+
+    def level(counts):
+        """Discounted share of each, and of its context left over."""
+        d, of = by_hand(counts.values()), defaultdict(list)
+        for key, c in counts.items():
+            of[key[:-1]].append(c)
+        less = lambda c: d[min(c, 3) - 1]
+        return (lambda key: max(0, counts[key] - less(counts[key])) / sum(of[key[:-1]]) if counts[key] else 0.0), (lambda context: sum(map(less, of[context])) / sum(of[context]) if context in of else None)
+
+    singles = Counter({(k,): c for k, c in single.items()})
+    levels = [level(x) for x in (singles, pairs, triples)]
+
+    def p(key):
+        share, left = levels[len(key) - 1]
+        lower_p = p(key[1:]) if len(key) > 1 else 1 / (len(single) + 1)
+        rest = left(key[:-1])
+        return lower_p if rest is None else share(key) + rest * lower_p
+
+    n, out = sum(count.values()), {}
     for i, w in tokens.items():
         base = sum(math.log10((count[x] + 1) / (n + len(count) + 1)) for x in w)
-        out[i] = held[i], len(w), sum(count[x] > 0 for x in w), n, base, sum(math.log10(p(a, b)) for a, b in zip([begin, *w], w, strict=False))
+        history = [begin, *w]
+        out[i] = held[i], len(w), sum(count[x] > 0 for x in w), n, base, sum(math.log10(p(tuple(history[max(0, a - 1) : a + 2]))) for a in range(len(w)))
     return out
 
 
-def test_kneser_ney(spark):
+@pytest.mark.parametrize(("shards", "gathered", "spread"), [(64, 1 << 21, 2), (3, 200, 0.03)])
+def test_kneser_ney(spark, monkeypatch, shards, gathered, spread):
+    monkeypatch.setattr(lm, "SPREAD", spread)
+    monkeypatch.setattr(lm, "SHARDS", shards)
+    monkeypatch.setattr(lm, "GATHERED", gathered)
     r = random.Random(4)
-    rows = [(i, " ".join(f"W{int(r.paretovariate(0.7)) % 90}" for _ in range(r.randrange(40)))) for i in range(60)] + [(60, None), (61, ""), (62, "never seen words"), (63, "w1 w2 " * 400)]
+    rows = [(i, " ".join(f"W{int(r.paretovariate(0.7)) % 90}" for _ in range(r.randrange(40)))) for i in range(60)] + [(60, None), (61, ""), (62, "never seen words"), (63, "w1 w2 " * 400), (64, "w1 w2 " * 400)]
     got = {x.doc_id: x for x in lm.score_held_out(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
     want = kneser_ney(rows)
     assert got.keys() == want.keys()
