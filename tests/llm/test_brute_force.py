@@ -27,14 +27,42 @@ def remainder(doc_id, of):
     return zlib.crc32(str(doc_id).encode()) % of
 
 
-def test_token_counts_equal_unshared_scores(spark):
-    model = tokencount.load(vocabulary("piece_bpe_32k.model"))
+def best_pieces(word, score):
+    """The best segmentation, found from the word's end on: pieces, or single characters that are none."""
+    unknown = min(score.values()) - 10
+    best = {0: (0.0, [])}
+    for end in range(1, len(word) + 1):
+        options = []
+        for begin in range(max(0, end - 40), end):
+            piece = word[begin:end]
+            if piece in score or end - begin == 1:
+                options.append((best[begin][0] + score.get(piece, unknown), end - begin, begin, piece))
+        found = max(options)
+        best[end] = found[0], [*best[found[2]][1], found[3]]
+    return best[len(word)][1]
+
+
+def test_token_counts_under_a_model_fitted_to_all_words(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
     r = random.Random(5)
-    texts = [" ".join("".join(r.choice("abehinorst日é🙂") for _ in range(r.randrange(1, 14))) for _ in range(80)) for _ in range(6)] + [None, "", "a" * 300, " \n"]
-    rows = list(enumerate(texts)) + [(0, texts[0])]
-    got = sorted(map(tuple, tokencount.token_counts(spark.createDataFrame(rows, "doc_id bigint, text string"), vocabulary("piece_bpe_32k.model")).collect()))
-    words = [re.findall(SPACE_WORD, t or "") for _, t in rows]
-    assert got == sorted((i, len(w), sum(model.alone(tokencount.MARK + x) for x in w)) for (i, _), w in zip(rows, words, strict=True))
+    texts = [" ".join("".join(r.choice("abehinorst日é🙂") for _ in range(r.randrange(1, 14))) for _ in range(80)) for _ in range(6)] + [None, "", "a" * 300, "abc" * 700, " \n", "the same words and the same text"]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (None, "a the")]
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.n_words, x.n_tokens) for x in tokencount.token_counts(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), vocabulary("piece_bpe_32k.model"), rounds=2).collect())
+    each = Counter(x for _, t in rows for x in re.findall(SPACE_WORD, t or ""))
+    harmonic = math.fsum(1 / (i + 1) for i in range(len(pieces)))
+    score = {p: math.log(1 / (i + 1)) - math.log(harmonic) for i, p in enumerate(pieces)}
+    for _ in range(2):
+        used = Counter()
+        for word, n in each.items():
+            for p in best_pieces("▁" + word, score):
+                used[p] += n * (p in score)
+        total = sum(used.values()) + len(pieces)
+        score = {p: math.log(used[p] + 1) - math.log(total) for p in pieces}
+    tokens = {x: sum(1 if p in score else len(p.encode()) for p in best_pieces("▁" + x, score)) for x in each}
+    assert got == sorted((i is None, i or 0, len(w), sum(tokens[x] for x in w)) for i, t in rows for w in [re.findall(SPACE_WORD, t or "")])
 
 
 def test_token_files_in_order_of_id(spark):
