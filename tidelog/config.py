@@ -50,7 +50,13 @@ class Settings:
     table: str = "users"
     pipeline: Pipeline = field(default_factory=Pipeline)
     destinations: Destinations = field(default_factory=Destinations)
+    source_path: str = ""
+    work_path: str = ""
     dlq_path: str = "dlq"
+    http_port: int = 0
+    probe_interval_s: float = 30.0
+    log_level: str = "INFO"
+    log_format: str = "json"
     phi_key: str | None = None
     pii_salt: str = ""
 

@@ -25,8 +25,8 @@ def hmac_sha256_hex(value: Column, key: str) -> Column:
 
 
 def event_key(keyspace: Column, table: Column, partition: list[Column], clustering: list[Column], timestamp_micros: Column) -> Column:
-    """Identity of a change: `keyspace.table:partition values:clustering values:micros`."""
-    joined = [F.concat_ws("_", *[c.cast("string") for c in cs]) for cs in (partition, clustering)]
+    """Identity of a change: `keyspace.table:partition values:clustering values:micros`; a null value is the word None, so it keeps its place."""
+    joined = [F.concat_ws("_", *[F.coalesce(c.cast("string"), F.lit("None")) for c in cs]) for cs in (partition, clustering)]
     return F.concat_ws(":", F.concat_ws(".", keyspace, table), *joined, timestamp_micros.cast("string"))
 
 

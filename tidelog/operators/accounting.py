@@ -23,10 +23,12 @@ def histogram(df: DataFrame, seconds: Column, labels: list[str], buckets: tuple[
 
 
 def nearest_rank(df: DataFrame, value: str, labels: list[str], shares: dict[str, float]) -> DataFrame:
-    """The value at 0-based place floor(n * share) of the sorted ones, for each label."""
+    """The value at 0-based place floor(n * share) of the sorted ones, for each label. Rows are counted by value before they move, so a task gets the distinct values of a label."""
+    counted = df.groupBy(*labels, value).agg(F.count("*").alias("__c"))
     w = Window.partitionBy(*labels)
-    placed = df.withColumn("__i", F.row_number().over(w.orderBy(value)) - 1).withColumn("__n", F.count("*").over(w))
-    return placed.groupBy(*labels).agg(*[F.max(F.when(F.col("__i") == F.floor(F.col("__n") * F.lit(s)), F.col(value))).alias(k) for k, s in shares.items()])
+    placed = counted.withColumns({"__to": F.sum("__c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("__c").over(w)})
+    at = lambda s: F.floor(F.col("__n") * F.lit(s))
+    return placed.groupBy(*labels).agg(*[F.max(F.when((at(s) < F.col("__to")) & (at(s) >= F.col("__to") - F.col("__c")), F.col(value))).alias(k) for k, s in shares.items()])
 
 
 def moving_rate(batches: DataFrame, events: str, at_us: str, labels: list[str], last: int = 10) -> DataFrame:
@@ -43,6 +45,16 @@ def backlog(captured: DataFrame, committed: DataFrame, labels: list[str]) -> Dat
     return a.join(b, labels, "left").select(*labels, (F.col("captured") - F.coalesce("committed", F.lit(0))).alias("backlog"))
 
 
+def sink_statistics(batches: DataFrame) -> DataFrame:
+    """Of each destination, from its log of batches (destination, batch_id, events, failed, at_us): events written, errors, the last error's batch, and events a second from first to last write."""
+    good = F.when(~F.col("failed"), F.col("events"))
+    seconds = (F.max(F.when(~F.col("failed"), F.col("at_us"))) - F.min(F.when(~F.col("failed"), F.col("at_us")))).cast("double") / F.lit(1e6)
+    return batches.groupBy("destination").agg(
+        F.coalesce(F.sum(good), F.lit(0)).alias("events_written"), F.count_if("failed").alias("errors_count"), F.max(F.when(F.col("failed"), F.col("batch_id"))).alias("last_error_batch"),
+        F.when(seconds > 0, F.sum(good).cast("double") / seconds).alias("events_per_second"),
+    )
+
+
 def rollup_health(checks: DataFrame, labels: list[str]) -> DataFrame:
     return checks.groupBy(*labels).agg(F.coalesce(F.bool_and(F.col("status") == "up"), F.lit(False)).alias("healthy"), F.count("*").alias("dependencies"))
 

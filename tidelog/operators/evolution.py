@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import typemap
@@ -27,6 +27,13 @@ class Change:
         return self.change_type in ("ADD_COLUMN", "DROP_COLUMN") or ((self.old_type or "").lower(), (self.new_type or "").lower()) in WIDENINGS
 
 
+def changes(old: dict[str, str], new: dict[str, str]) -> list[Change]:
+    """Of columns, by name: added ones, then dropped ones and those of another type, whatever its case. diff() is the same over tables."""
+    kinds = {True: lambda c: Change("ADD_COLUMN", c, None, new[c]), False: lambda c: Change("DROP_COLUMN", c, old[c]) if c not in new else Change("ALTER_TYPE", c, old[c], new[c])}
+    moved = [c for c in old if new.get(c, "").lower() != old[c].lower()]
+    return [kinds[c not in old](c) for c in [*(c for c in new if c not in old), *moved]]
+
+
 @dataclass(frozen=True)
 class TableSchema:
     keyspace: str
@@ -43,6 +50,11 @@ class TableSchema:
         if self.version < 1 or not self.partition_keys or not keys <= {*self.columns} or (self.version > 1 and self.previous is None):
             raise ValueError("a schema has a version from 1, keys among its columns, and a predecessor after version 1")
 
+    @classmethod
+    def create_initial(cls, keyspace: str, table_name: str, columns: dict[str, str], partition_keys: tuple[str, ...], clustering_keys: tuple[str, ...] = ()) -> TableSchema:
+        """Version 1, without a predecessor."""
+        return cls(keyspace, table_name, dict(columns), tuple(partition_keys), tuple(clustering_keys))
+
     def with_version(self, version: int) -> TableSchema:
         return replace(self, version=version, previous=self.version)
 
@@ -55,20 +67,16 @@ class TableSchema:
         return hashlib.sha256(json.dumps(content, sort_keys=True).encode()).hexdigest()
 
     def compare(self, other: TableSchema) -> list[Change]:
-        """Keys lost, gained or reordered, then columns added, then dropped or changed. Types differ whatever their case."""
-        out = []
-        for kind, a, b in (("partition_key", self.partition_keys, other.partition_keys), ("clustering_key", self.clustering_keys, other.clustering_keys)):
-            out += [Change("ALTER_TYPE", k, kind, f"not_{kind}") for k in a if k not in b]
-            out += [Change("ALTER_TYPE", k, f"not_{kind}", kind) for k in b if k not in a]
-            if {*a} == {*b} and a != b:
-                out.append(Change("ALTER_TYPE", ",".join(a), kind, f"{kind}:{','.join(b)}"))
-        out += [Change("ADD_COLUMN", c, None, t) for c, t in other.columns.items() if c not in self.columns]
-        for c, t in self.columns.items():
-            if c not in other.columns:
-                out.append(Change("DROP_COLUMN", c, t))
-            elif t.lower() != other.columns[c].lower():
-                out.append(Change("ALTER_TYPE", c, t, other.columns[c]))
-        return out
+        """What happened to keys, then to columns. A key that came or went, or keys in another order, are changes that no destination can follow."""
+        out: list[Change] = []
+        for role in ("partition_key", "clustering_key"):
+            before, after = (getattr(x, f"{role}s") for x in (self, other))
+            if sorted(before) == sorted(after):
+                out += [Change("ALTER_TYPE", ",".join(before), role, f"{role}:{','.join(after)}")] * (before != after)
+                continue
+            flip = {False: (f"not_{role}", role), True: (role, f"not_{role}")}
+            out += [Change("ALTER_TYPE", k, *flip[k in before]) for k in sorted({*before} ^ {*after}, key=[*before, *after].index)]
+        return out + changes(self.columns, other.columns)
 
 
 def compatible(old: Column, new: Column) -> Column:
@@ -119,6 +127,11 @@ class Registry:
     def get(self, keyspace: str, table: str) -> TableSchema | None:
         return (self.schemas.get(f"{keyspace}.{table}") or [None])[-1]
 
+    def audit(self, spark: SparkSession) -> DataFrame:
+        """The log of changes as a table; a row for each change of a registered version."""
+        rows = [(x["table"], x["version"], x["change"].change_type, x["change"].column_name, x["change"].old_type, x["change"].new_type, x["compatible"]) for x in self.log]
+        return spark.createDataFrame(rows, "table_name string, version int, change_type string, column_name string, old_type string, new_type string, compatible boolean")
+
     def paused(self) -> set[str]:
         """Tables whose latest change is incompatible: their events go to the dead-letter store, others go on."""
         return {x["table"] for x in self.log if not x["compatible"] and x["version"] == self.schemas[x["table"]][-1].version and (x["table"], x["change"].column_name) not in self.overrides}

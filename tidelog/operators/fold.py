@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def partial(log: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
@@ -29,10 +28,11 @@ def merge(states: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 def finish(states: DataFrame, keys: list[str], columns: list[str], scope: list[str] | None = None) -> DataFrame:
     """Live rows: keys, columns and the order of the last write. `scope`: key columns whose delete covers all rows of them (the partition key); else a delete covers its own key."""
-    deleted: Column = F.col("__delete")
     if scope and scope != keys:
-        deleted = F.max("__delete").over(Window.partitionBy(*scope))
-    states = states.withColumn("__delete", deleted).filter("__write IS NOT NULL AND (__delete IS NULL OR __write > __delete)")
+        # A maximum for each scope, then a join that may be split: no task holds all rows of a scope.
+        deletes = states.groupBy(*scope).agg(F.max("__delete").alias("__all")).filter("__all IS NOT NULL")
+        states = states.join(deletes, scope, "left").withColumn("__delete", F.col("__all")).drop("__all")
+    states = states.filter("__write IS NOT NULL AND (__delete IS NULL OR __write > __delete)")
     value = lambda c: F.when(F.col("__delete").isNull() | (F.col(f"__{c}.s") > F.col("__delete")), F.col(f"__{c}.v"))
     return states.select(*keys, *[value(c).alias(c) for c in columns], F.col("__write").alias("last"))
 
@@ -68,14 +68,26 @@ def live_at(log: DataFrame, now_us: int) -> DataFrame:
     return log.filter(F.col("ttl_seconds").isNull() | (F.col("timestamp_micros") + F.col("ttl_seconds").cast("bigint") * 1_000_000 > F.lit(now_us)))
 
 
+def expired(tombstones: DataFrame, now_us: int, grace_seconds: int = 864_000) -> Column:
+    """Whether a tombstone of time `deleted_us` may go: its grace (ten days by default) is over, so every destination has had time to see it."""
+    return F.col("deleted_us") + F.lit(grace_seconds * 1_000_000) <= F.lit(now_us)
+
+
+def expire(tombstones: DataFrame, now_us: int, grace_seconds: int = 864_000) -> DataFrame:
+    """Tombstones that are still needed."""
+    return tombstones.filter(~expired(tombstones, now_us, grace_seconds))
+
+
 def project_row() -> Column:
-    """One map of a generic event's keys and cells; later ones win."""
-    return F.map_from_entries(F.array_distinct(F.concat(*[F.map_entries(F.coalesce(F.col(c), F.create_map().cast("map<string,string>"))) for c in ("partition_key", "clustering_key", "columns")])))
+    """One map of a generic event's keys and cells; later ones win, whatever the session's rule for repeated keys."""
+    pk, ck, cells = (F.coalesce(F.col(c), F.create_map().cast("map<string,string>")) for c in ("partition_key", "clustering_key", "columns"))
+    free = lambda m, *later: F.map_filter(m, lambda k, v: ~F.exists(F.array(*[F.map_contains_key(x, k) for x in later]), lambda b: b))
+    return F.map_concat(free(pk, ck, cells), free(ck, cells), cells)
 
 
 def parity(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that are missing or different in one of two destinations."""
+    """Keys whose rows are missing or different in one of two destinations; a key's rows are compared with their numbers, by count and sum of hashes."""
     rest = [c for c in a.columns if c not in keys]
-    left, right = (x.groupBy(*keys).agg(F.max(F.struct(*rest)).alias(n)) for x, n in ((a, "__a"), (b, "__b")))
+    left, right = (x.select(*keys, *rest).groupBy(*keys).agg(F.struct(F.count("*").alias("n"), F.sum(F.xxhash64(*rest).cast("decimal(38,0)")).alias("h"), F.max(F.struct(*rest)).alias("x")).alias(n)) for x, n in ((a, "__a"), (b, "__b")))
     joined = left.join(right, keys, "full_outer").filter(~F.col("__a").eqNullSafe(F.col("__b")))
     return joined.select(*keys, F.when(F.col("__a").isNull(), "missing_left").when(F.col("__b").isNull(), "missing_right").otherwise("different").alias("difference"))

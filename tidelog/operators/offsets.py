@@ -55,3 +55,17 @@ def resume(log: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
 
 def clean(offsets: DataFrame, now, days: int = 7) -> DataFrame:
     return offsets.filter(F.col("last_committed_at") >= now - F.expr(f"INTERVAL {days} DAYS"))
+
+
+def read(offsets: DataFrame, table: str, keyspace: str, partition_id: int, destination: str) -> DataFrame:
+    """The one offset of a key, or no row."""
+    return offsets.filter((F.col("table_name") == table) & (F.col("keyspace") == keyspace) & (F.col("partition_id") == partition_id) & (F.col("destination") == destination))
+
+
+def create(batches: DataFrame, table: str, keyspace: str, destination: str, count: int | None = 1) -> DataFrame:
+    """New offsets of partitions (partition_id, commitlog_file, commitlog_position, last_event_timestamp_micros, and events if count is None): a fresh id each, committed now."""
+    events = F.col("events") if count is None else F.lit(count).cast("bigint")
+    return batches.select(
+        F.expr("uuid()").alias("offset_id"), F.lit(table).alias("table_name"), F.lit(keyspace).alias("keyspace"), F.col("partition_id").cast("bigint"), F.lit(destination).alias("destination"), "commitlog_file",
+        F.col("commitlog_position").cast("bigint"), F.col("last_event_timestamp_micros").cast("bigint"), F.current_timestamp().alias("last_committed_at"), events.alias("events_replicated_count"),
+    )

@@ -40,6 +40,7 @@ def offset_violations(now: Column | None = None) -> Column:
 def type_ok(value: Column, cql: str) -> Column:
     """Whether a text cell reads as the type; the first part found in the type's name decides, unknown types pass."""
     low = cql.lower()
+    # The order in which types are looked for.
     kinds = (("text", None), ("varchar", None), ("int", "bigint"), ("bigint", "bigint"), ("double", "double"), ("float", "double"), ("decimal", "double"), ("boolean", "boolean"), ("uuid", None), ("timestamp", None))
     cast = next((to for part, to in kinds if part in low), None)
     return F.lit(True) if cast is None else value.isNull() | value.try_cast(cast).isNotNull()

@@ -14,7 +14,7 @@ _TYPES = (
 )
 ROW_STORE, COLUMN_STORE = {a: b for a, b, _ in _TYPES}, {a: c for a, _, c in _TYPES}
 TARGETS = {"POSTGRES": ROW_STORE, "TIMESCALEDB": ROW_STORE, "CLICKHOUSE": COLUMN_STORE}
-SPARK = {"UUID": T.StringType(), "TEXT": T.StringType(), "VARCHAR": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(), "FLOAT": T.FloatType(), "DOUBLE": T.DoubleType(), "DECIMAL": T.DecimalType(38, 10), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(), "TIME": T.StringType(), "BLOB": T.BinaryType()}
+SPARK = {"UUID": T.StringType(), "TEXT": T.StringType(), "VARCHAR": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(), "FLOAT": T.FloatType(), "DOUBLE": T.DoubleType(), "DECIMAL": T.DecimalType(38, 10), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.LongType(), "DATE": T.DateType(), "TIME": T.StringType(), "BLOB": T.BinaryType()}
 FALLBACK = {"POSTGRES": "text", "TIMESCALEDB": "text", "CLICKHOUSE": "String"}
 
 
@@ -46,6 +46,7 @@ def incompatible(cql: Column, target: str) -> Column:
 
 
 def convert(value: Column, cql: str) -> Column:
+    """A text cell as its type; times stay numbers of microseconds, identifiers and unknown types stay text."""
     return value.cast(SPARK.get(cql.upper(), T.StringType()))
 
 

@@ -8,13 +8,16 @@ grown. Entries that can't be read are marked, not dropped.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
+from dataclasses import dataclass
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tidelog.model import PAYLOAD
 from tidelog.shipping import ship
@@ -34,6 +37,24 @@ def frames(content: bytes, start: int = 0):
         at += 4 + size
 
 
+def _batches(name: str, found, bytes_: int = 4 << 20):
+    """Frames of a file as record batches of bounded size, as they are read."""
+    held, size = [], 0
+    for f in found:
+        held.append((name, *f))
+        size += len(f[2]) + 64
+        if size >= bytes_:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["commitlog_file", "position", "next_position", "entry"])
+
+
 def order_of(name: Column) -> Column:
     """A segment's two numbers: names sort by them, not as text."""
     return F.struct(*[F.regexp_extract(name, r"CommitLog-(\d+)-(\d+)\.log", i).cast("bigint").alias(f"n{i}") for i in (1, 2)])
@@ -47,9 +68,7 @@ def read_frames(spark: SparkSession, folder: str, start: dict[str, int] | None =
         for b in batches:
             for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
                 name = path.rsplit("/", 1)[-1]
-                rows = [(name, *f) for f in frames(content, begin.get(name, 0))]
-                for at in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_pydict(dict(zip(("commitlog_file", "position", "next_position", "entry"), map(list, zip(*rows[at : at + 10_000], strict=True)), strict=True)))
+                yield from _batches(name, frames(content, begin.get(name, 0)))
 
     files = ship(spark).read.format("binaryFile").option("pathGlobFilter", "CommitLog-*.log").load(folder).select("path", "content")
     return files.mapInArrow(run, _FRAMES)
@@ -117,8 +136,36 @@ def write_segments(events: DataFrame, folder: str) -> None:
     encode(events).repartition("commitlog_file").sortWithinPartitions("commitlog_file", "seq").mapInArrow(run, "x int").count()
 
 
+def ends(f: BinaryIO, start: int, most: int) -> tuple[list[int], int]:
+    """Ends of pieces of at most `most` bytes, or one frame, from `start` on, and how many frames they hold. Only the frames' lengths are read."""
+    f.seek(0, os.SEEK_END)
+    size, at, out, n = f.tell(), start, [], 0
+    piece = start
+    while at + 4 <= size:
+        f.seek(at)
+        (length,) = struct.unpack(">I", f.read(4))
+        if not 0 < length <= LARGEST or at + 4 + length > size:
+            break
+        if at > piece and at + 4 + length - piece > most:
+            out.append(at)
+            piece = at
+        at, n = at + 4 + length, n + 1
+    return (out + [at] if at > start else out), n
+
+
+@dataclass
+class Piece(InputPartition):
+    path: str
+    start: int
+    end: int
+
+
 class CommitLogSource(DataSource):
-    """spark.readStream.format("commitlog").option("path", folder): frames of growing segments, each from the place it was left at."""
+    """spark.readStream.format("commitlog").option("path", folder): frames of growing segments, each from the place it was left at.
+
+    The driver lists files and reads the frames' lengths; executors read the frames, a task for each `piecebytes` of a
+    file. The folder must be mounted on them. A trigger takes `maxpieces` pieces at most, but for the first one after a start.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -127,42 +174,61 @@ class CommitLogSource(DataSource):
     def schema(self) -> str:
         return _FRAMES
 
-    def simpleStreamReader(self, schema):
-        return _Reader(self.options["path"], int(self.options.get("maxframes", "100000")))
+    def streamReader(self, schema):
+        return _Reader(self.options["path"], int(self.options.get("piecebytes", 32 << 20)), int(self.options.get("maxpieces", 0)))
+
 
+class _Reader(DataSourceStreamReader):
+    def __init__(self, folder: str, most: int, pieces: int):
+        self.folder, self.most, self.pieces, self.at = folder, most, pieces, None
+
+    def _names(self) -> list[str]:
+        names = [n for n in os.listdir(self.folder) if re.fullmatch(r"CommitLog-\d+-\d+\.log", n)] if os.path.isdir(self.folder) else []
+        return sorted(names, key=lambda n: tuple(map(int, re.findall(r"\d+", n))))
 
-class _Reader(SimpleDataSourceStreamReader):
-    def __init__(self, folder: str, most: int):
-        self.folder, self.most = folder, most
+    def _cut(self, name: str, start: int) -> list[int]:
+        with open(f"{self.folder}/{name}", "rb") as f:
+            return ends(f, start, self.most)[0]
 
     def initialOffset(self) -> dict:
         return {}
 
-    def _from(self, start: dict, stop: dict | None = None):
-        import re
-
-        rows, at = [], dict(start)
-        names = [n for n in os.listdir(self.folder) if re.fullmatch(r"CommitLog-\d+-\d+\.log", n)] if os.path.isdir(self.folder) else []
-        for name in sorted(names, key=lambda n: tuple(map(int, re.findall(r"\d+", n)))):
-            with open(f"{self.folder}/{name}", "rb") as f:
-                f.seek(at.get(name, 0))
-                base, content = at.get(name, 0), f.read()
-            for here, after, entry in frames(content):
-                if len(rows) >= self.most or (stop is not None and base + after > stop.get(name, 0)):
+    def latestOffset(self) -> dict:
+        """Places by file. In order of files, so that a limit leaves the later ones."""
+        out, left = dict(self.at or {}), self.pieces if self.at is not None and self.pieces else 1 << 62
+        for name in self._names():
+            cuts = self._cut(name, out.get(name, 0))[:left]
+            if cuts:
+                out[name], left = cuts[-1], left - len(cuts)
+            if not left:
+                break
+        return out
+
+    def partitions(self, start: dict, end: dict) -> list[Piece]:
+        self.at = dict(end)
+        out = []
+        for name, stop in end.items():
+            begin = start.get(name, 0)
+            for cut in self._cut(name, begin) if stop > begin else ():
+                if cut > stop:
                     break
-                rows.append((name, base + here, base + after, entry))
-                at[name] = base + after
-        return rows, at
-
-    def read(self, start: dict):
-        rows, at = self._from(start)
-        return iter(rows), at
-
-    def readBetweenOffsets(self, start: dict, end: dict):
-        return iter(self._from(start, end)[0])
+                out.append(Piece(f"{self.folder}/{name}", begin, cut))
+                begin = cut
+            if begin < stop:
+                out.append(Piece(f"{self.folder}/{name}", begin, stop))
+        return out
+
+    def read(self, piece: Piece):
+        with open(piece.path, "rb") as f:
+            f.seek(piece.start)
+            name, at = piece.path.rsplit("/", 1)[-1], piece.start
+            while at < piece.end:
+                (length,) = struct.unpack(">I", f.read(4))
+                yield name, at, at + 4 + length, f.read(length)
+                at += 4 + length
 
     def commit(self, end: dict) -> None:
         pass
 
 
-__all__ = ["CommitLogSource", "InputPartition", "encode", "frames", "order_of", "parse", "read_events", "read_frames", "write_segments"]
+__all__ = ["CommitLogSource", "encode", "frames", "order_of", "parse", "read_events", "read_frames", "write_segments"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import socket
 import threading
 import time
 from collections.abc import Callable
@@ -84,6 +85,34 @@ class Health:
         pool.shutdown(wait=False)
 
 
+def folder_exists(spark, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at))
+
+
+def reaches(host: str, port: int, timeout: float = 5.0) -> Callable[[], bool]:
+    """A probe of a store by its port."""
+
+    def probe() -> bool:
+        with socket.create_connection((host, port), timeout):
+            return True
+
+    return probe
+
+
+def every(seconds: float, health: Health, probes: dict[str, Callable[[], object]], stop: threading.Event) -> threading.Thread:
+    """Probe now and then, until told to stop."""
+
+    def run() -> None:
+        while not stop.is_set():
+            health.probe(probes)
+            stop.wait(seconds)
+
+    found = threading.Thread(target=run, daemon=True)
+    found.start()
+    return found
+
+
 def serve(port: int, health: Health | None = None, metrics: Metrics | None = None) -> ThreadingHTTPServer:
     """/health (200 or 503) and /metrics in a thread; other paths are 404."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.streaming import retry
+from tidelog.streaming import logs, retry
 from tidelog.streaming.sinks import DeadLetterSink, OffsetStore, Sink
 
 
@@ -23,15 +23,21 @@ def file_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def start(stream: DataFrame, sink: Sink, checkpoint: str, offsets: OffsetStore | None = None, dead: DeadLetterSink | None = None, policy: retry.RetryPolicy | None = None, order: str = "seq", ts: str = "ts_us", split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None, available_now: bool = True, interval: str = "100 milliseconds", on_progress: Callable[[dict], None] | None = None):
-    """Start a query. Each batch is split into good and bad rows, written with retries, then committed; what can't be written goes to the dead-letter store and the stream goes on."""
+    """Start a query. Each batch is split into good and bad rows, written with retries, then committed; what can't be written goes to the dead-letter store and the stream goes on. A batch that not even that store takes fails, and comes again."""
     policy = policy or retry.RetryPolicy()
 
+    name, log = sink.state.destination, logs.get_logger(__name__)
+
     def each(batch: DataFrame, batch_id: int) -> None:
+        with logs.bound(destination=name, batch_id=batch_id), logs.span("batch_write", destination=name):
+            handle(batch, batch_id)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good, bad = split(batch) if split else (batch, None)
             if bad is not None and dead is not None:
-                dead.write_batch(bad, batch_id)
+                dead.write_batch(bad, batch_id, f"{name}-bad")
             try:
                 n = retry.call(sink.write_batch, policy, good, batch_id)
                 sink.state.wrote(n)
@@ -42,8 +48,9 @@ def start(stream: DataFrame, sink: Sink, checkpoint: str, offsets: OffsetStore |
                 sink.state.failed(str(e))
                 if dead is None:
                     raise
+                log.error("batch goes to the dead-letter store", error=str(e)[:500], error_type=type(e).__name__)
                 lost = good.withColumns({"destination": F.lit(sink.state.destination), "error_type": F.lit(type(e).__name__), "error_message": F.lit(str(e)[:500]), "failed_at": F.current_timestamp()})
-                dead.write_batch(lost, batch_id)
+                dead.write_batch(lost, batch_id, f"{name}-lost")
             if on_progress:
                 on_progress({"batch_id": batch_id, **sink.state.stats()})
         finally:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import math
 from abc import ABC, abstractmethod
 from collections import deque
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from time import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import fold
+from tidelog.streaming import logs
 
 
 @dataclass
@@ -63,36 +66,73 @@ class Sink(ABC):
         return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole folders in a folder: those whose job has ended."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
-    whole = [n for n in names if n.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return sorted(int(n[2:]) for n in whole)
+    return [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Segments:
+    """Folders <first>-<last> of what batches first to last have written. Wider ones replace those within them."""
+
+    def __init__(self, path: str, together: int = 8):
+        self.path, self.together = path, together
+
+    def whole(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """In order, without those that a wider one holds."""
+        found = sorted((tuple(map(int, n.split("-"))) for n in _children(spark, self.path)), key=lambda x: (x[0], -x[1]))
+        out: list[tuple[int, int]] = []
+        for x in found:
+            if not out or x[1] > out[-1][1]:
+                out.append(x)
+        return out
+
+    def place(self, first: int, last: int) -> str:
+        return f"{self.path}/{first}-{last}"
+
+    def holds(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether a wider segment has the batch already."""
+        return any(a <= batch_id <= b and a < b for a, b in self.whole(spark))
+
+    def compact(self, spark: SparkSession, merged: Callable[[list[str]], DataFrame], save: Callable[[DataFrame, str], None]) -> None:
+        """Neighbours of one size, `together` of them, become one: a row is written again once for each size, not for each batch."""
+        while True:
+            found = self.whole(spark)
+            size = lambda x: int(math.log(x[1] - x[0] + 1, self.together) + 1e-9)
+            run = next((found[i : i + self.together] for i in range(len(found) - self.together + 1) if len({size(x) for x in found[i : i + self.together]}) == 1), None)
+            if run is None:
+                return
+            save(merged([self.place(*x) for x in run]), self.place(run[0][0], run[-1][1]))
+            for x in run:
+                _delete(spark, self.place(*x))
 
 
 class UpsertSink(Sink):
-    """Table state as versions v=<batch id> of mergeable fold states: a batch's partial fold is merged into the last whole version. Stands for stores with upserts."""
+    """Table state as segments of mergeable fold states. A batch writes its own partial fold; segments are merged now and then, and by readers, in any order. Stands for stores with upserts."""
 
-    def __init__(self, name: str, path: str, keys: list[str], columns: list[str], order: list[str], scope: list[str] | None = None, keep: int = 2):
+    def __init__(self, name: str, path: str, keys: list[str], columns: list[str], order: list[str], scope: list[str] | None = None, together: int = 8):
         super().__init__(name, path)
-        self.keys, self.columns, self.order, self.scope, self.keep = keys, columns, order, scope, keep
+        self.keys, self.columns, self.order, self.scope, self.segments = keys, columns, order, scope, Segments(self.path, together)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> int:
-        spark = batch.sparkSession
-        before = [v for v in _versions(spark, self.path) if v < batch_id]
-        fresh = fold.partial(batch, self.keys, self.columns, self.order)
-        if before:
-            fresh = fold.merge(spark.read.parquet(f"{self.path}/v={before[-1]}").unionByName(fresh), self.keys, self.columns)
-        fresh.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        for old in before[: -self.keep]:
-            at = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={old}")
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        return batch.count()
+        spark, seen = batch.sparkSession, Observation()
+        if self.segments.holds(spark, batch_id):
+            return 0
+        fresh = fold.partial(batch.observe(seen, F.count(F.lit(1)).alias("n")), self.keys, self.columns, self.order)
+        fresh.write.mode("overwrite").parquet(self.segments.place(batch_id, batch_id))
+        self.segments.compact(spark, lambda paths: fold.merge(spark.read.parquet(*paths), self.keys, self.columns), lambda df, path: df.write.mode("overwrite").parquet(path))
+        return seen.get["n"]
 
     def read(self, spark: SparkSession) -> DataFrame:
-        state = spark.read.parquet(f"{self.path}/v={_versions(spark, self.path)[-1]}")
-        return fold.finish(state, self.keys, self.columns, self.scope)
+        state = spark.read.parquet(*[self.segments.place(*x) for x in self.segments.whole(spark)])
+        return fold.finish(fold.merge(state, self.keys, self.columns), self.keys, self.columns, self.scope)
 
 
 class AppendSink(Sink):
@@ -128,18 +168,22 @@ class HypertableSink(AppendSink):
 
 
 class DeadLetterSink(Sink):
-    """JSON lines by destination and day; a failure to write is kept in the state, not raised."""
+    """JSON lines by batch, origin, destination and day. A batch written again replaces its own rows; a failure is kept in the state and raised, so that the batch comes again."""
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> int:
+    def write_batch(self, batch: DataFrame, batch_id: int, origin: str = "all") -> int:
+        seen = Observation()
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("date", F.date_format("failed_at", "yyyy-MM-dd"))
         try:
-            batch.withColumn("date", F.date_format("failed_at", "yyyy-MM-dd")).write.mode("append").partitionBy("destination", "date").json(self.path)
+            rows.write.mode("overwrite").partitionBy("destination", "date").json(f"{self.path}/batch={origin.lower()}-{batch_id}")
         except Exception as e:
             self.state.failed(str(e))
-            return 0
-        return batch.count()
+            raise
+        n = seen.get["n"]
+        self.state.wrote(n)
+        return n
 
     def read(self, spark: SparkSession, destination: str | None = None) -> DataFrame:
-        found = spark.read.json(self.path)
+        found = spark.read.json(self.path).drop("batch")
         return found.filter(F.col("destination") == destination) if destination else found
 
     def count(self, spark: SparkSession) -> DataFrame:
@@ -147,19 +191,39 @@ class DeadLetterSink(Sink):
 
 
 class OffsetStore:
-    """Offsets as versions, like table states; a batch that comes twice counts once."""
+    """Offsets of each destination's batches, in segments that are merged now and then; a batch that comes twice counts once."""
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
+    KIND = "events bigint, last_position bigint, last_ts_us bigint, batch_id bigint, committed_at timestamp"
 
-    def commit(self, spark: SparkSession, destination: str, batch_id: int, rows: DataFrame, order: str, ts: str) -> None:
-        found = rows.agg(F.count("*").alias("events"), F.max(order).alias("last_position"), F.max_by(ts, order).alias("last_ts_us")).withColumns({"destination": F.lit(destination), "batch_id": F.lit(batch_id).cast("bigint")})
-        found.filter("events > 0").write.mode("overwrite").json(f"{self.path}/{destination}/batch-{batch_id}")
+    def __init__(self, path: str, together: int = 8):
+        self.path, self.together = path.rstrip("/"), together
+
+    def _segments(self, destination: str) -> Segments:
+        return Segments(f"{self.path}/{destination}", self.together)
+
+    @staticmethod
+    def _sum(rows: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct("last_position", "last_ts_us", "batch_id", "committed_at"), "batch_id").alias("x")
+        return rows.agg(F.sum("events").alias("events"), last).filter("events IS NOT NULL").select("events", "x.*")
+
+    def commit(self, spark: SparkSession, destination: str, batch_id: int, rows: DataFrame, order: str, ts: str) -> bool:
+        """Whether the batch's offset is held now; a failure to write it is no error of the batch."""
+        segments = self._segments(destination)
+        try:
+            if not segments.holds(spark, batch_id):
+                found = rows.agg(F.count("*").alias("events"), F.max(order).alias("last_position"), F.max_by(ts, order).alias("last_ts_us")).filter("events > 0")
+                found.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "committed_at": F.current_timestamp()}).write.mode("overwrite").json(segments.place(batch_id, batch_id))
+                segments.compact(spark, lambda paths: self._sum(spark.read.schema(self.KIND).json(paths)), lambda df, path: df.write.mode("overwrite").json(path))
+            return True
+        except Exception:
+            logs.get_logger(__name__).exception("offset not committed", destination=destination, batch_id=batch_id)
+            return False
 
     def read(self, spark: SparkSession, destination: str) -> dict | None:
-        rows = spark.read.schema("destination string, batch_id bigint, events bigint, last_position bigint, last_ts_us bigint").json(f"{self.path}/{destination}/*")
-        r = rows.agg(F.sum("events").alias("events"), F.max_by(F.struct("last_position", "last_ts_us", "batch_id"), "batch_id").alias("x")).first()
-        return {"events": r.events, **r.x.asDict()} if r.events else None
+        segments = self._segments(destination)
+        paths = [segments.place(*x) for x in segments.whole(spark)]
+        r = self._sum(spark.read.schema(self.KIND).json(paths)).first() if paths else None
+        return {k: v for k, v in r.asDict().items() if k != "committed_at"} if r else None
 
 
 def dumps(state: SinkState) -> str:
