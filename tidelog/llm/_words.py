@@ -32,7 +32,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_BASE ** i and its inverse, modulo 2 ** 64, for i up to n."""
     if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, (1 << 20) + (1 << 18))
+        size = max(n + 1, (1 << 18) + (1 << 16))
         _powers[:] = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(size, base, _U)

@@ -25,7 +25,7 @@ _NONE = np.uint32(0xFFFFFFFF)
 #: Longer words, in bytes, get a tree of their own.
 LONG = 64
 #: Words that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def _byte_chars() -> list[str]:

@@ -188,7 +188,7 @@ def _pairs(nodes: DataFrame, hot: DataFrame, cross: bool, percent: int, groups:
         pairs = even.union(dealt.join(least, "k").select(F.col("fp").alias("u"), "v").filter("u <> v")).distinct()
         # Of a node's pivots the one that most nodes have, so a group of copies gathers around few: a pair for each node at most.
         pairs = stage(pairs, "pivots")
-        liked = pairs.groupBy("v").agg(F.count("*").alias("m"))
+        liked = if_small(stage(pairs.groupBy("v").agg(F.count("*").alias("m")), "liked"), 32)
         return pairs.join(liked, "v").groupBy("u").agg(F.max(F.struct("m", "v")).alias("x")).select("u", F.col("x.v").alias("v"))
     sizes = dealt.groupBy("k", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("k").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("d")).filter("d > 1").select("k", F.col("x.c").alias("main"))
@@ -295,8 +295,8 @@ def _compare(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle:
 
     sets = map_chunks(source, per_chunk, "fp bigint, s binary").join(if_small(wanted.select("fp"), 16), "fp", "left_semi")
     sets = stage(sets.dropDuplicates(["fp"]), "sets")
-    size = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts"))
-    star = pairs.join(size, "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"))
+    size = stage(pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts")), "sizes")
+    star = pairs.join(if_small(size, 24), "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"))
     members = star.join(sets.withColumnRenamed("fp", "u"), "u").select("u", "v", "part", F.lit(0).alias("own"), "s")
     pivots = star.select("v", "part").distinct().join(sets.withColumnRenamed("fp", "v"), "v").select(F.col("v").alias("u"), "v", "part", F.lit(1).alias("own"), "s")
     dealt = members.union(pivots).repartition("v", "part").sortWithinPartitions("v", "part", F.desc("own"))
@@ -333,8 +333,8 @@ def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups:
     # First each node meets one more pivot, of those offered the one with most nodes near it. A node with a link to one
     # of at least NEAR with that pivot is itself at least `far` like the pivot, as 1 - similarity is a distance.
     far = max(0, NEAR - (100 - percent))
-    near = tried.groupBy(F.col("v").alias("q")).agg(F.count("*").alias("m"))
-    offered = across.withColumnRenamed("v", "q").join(near, "q", "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    near = stage(tried.groupBy(F.col("v").alias("q")).agg(F.count("*").alias("m")), "near")
+    offered = across.withColumnRenamed("v", "q").join(if_small(near, 32), "q", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     second = stage(offered.groupBy("u").agg(F.max(F.struct("m", "q")).alias("x")).select("u", F.col("x.q").alias("v")), "pairs")
     again = stage(_compare(documents, nodes, second, shingle, percent, far, stage), "tried")
     both = stage(tried.withColumn("probe", F.lit(False)).union(again.withColumn("probe", F.lit(True))), "near")
