@@ -48,7 +48,12 @@ def shared(spark: SparkSession, name: str) -> str:
 
 
 def mounted(path: str) -> str:
-    return "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+    """A path that every machine has mounted, for files that aren't Spark's own."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    if ":" in path.split("/")[0]:
+        raise ValueError(f"segment files need a mounted folder, not {path}")
+    return path
 
 
 # Folds
@@ -77,8 +82,7 @@ def upsert_fold_exact_delete(spark, d):
 @query(f"""WITH {LOG}, o AS (SELECT *, {{'t': ts_us, 's': seq}} AS k FROM log), del AS (SELECT user_id, max(k) AS d FROM o WHERE op = 'DELETE' GROUP BY 1), w AS (SELECT o.* FROM o LEFT JOIN del USING (user_id) WHERE op <> 'DELETE' AND (d IS NULL OR k > d))
 SELECT user_id, arg_max(value, k) FILTER (WHERE has_value) AS value, arg_max(props, k) FILTER (WHERE has_props) AS props, max(k).t AS last_ts_us FROM w GROUP BY 1""")
 def lww_by_timestamp(spark, d):
-    arrived = log(spark, d).repartition(7, F.col("seq") % 7)
-    return fold.upsert_fold(arrived, ["user_id"], COLUMNS, ["ts_us", "seq"]).select("user_id", *COLUMNS, F.col("last.ts_us").alias("last_ts_us"))
+    return fold.upsert_fold(log(spark, d), ["user_id"], COLUMNS, ["ts_us", "seq"]).select("user_id", *COLUMNS, F.col("last.ts_us").alias("last_ts_us"))
 
 
 @query(f"WITH {LOG} SELECT seq, user_id, op, CASE WHEN has_value THEN value ELSE 0.0::DOUBLE END AS value, CASE WHEN has_props THEN props ELSE '' END AS props FROM log WHERE op <> 'DELETE'")
@@ -174,6 +178,24 @@ def classify_fields(spark, d):
     return spark.createDataFrame([(n,) for n in names], "name string").withColumn("strategy", RULES.classified(F.col("name")))
 
 
+@query("SELECT name, CASE name WHEN 'email' THEN 'none' WHEN 'city' THEN 'phi_token' WHEN 'Nickname' THEN 'pii_hash' WHEN 'blood_type' THEN 'phi_token' ELSE 'none' END AS strategy FROM (VALUES ('email'), ('city'), ('Nickname'), ('blood_type'), ('age')) t(name)")
+def masking_rules_from_file(spark, d):
+    """Parts of names from a YAML file, and strategies by column."""
+    with tempfile.NamedTemporaryFile("w", suffix=".yaml") as f:
+        f.write("pii_fields: [email, nickname]\nphi_fields: [blood_type]\n")
+        f.flush()
+        rules = masking.Rules.load(f.name, key=KEY, strategies={"email": "passthrough", "city": "tokenize"})
+    return spark.createDataFrame([(n, rules.classify(n)) for n in ("email", "city", "Nickname", "blood_type", "age")], "name string, strategy string")
+
+
+@query(f"SELECT c_custkey, c_name AS email, {_hmac_sql('c_mktsegment')} AS city, sha256('salt' || c_phone) AS phone FROM (SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_phone FROM customer)")
+def mask_by_strategy(spark, d):
+    """Overrides by column: passed through, a token, and a salted digest."""
+    rules = masking.Rules(key=KEY, salt="salt", strategies={"email": "passthrough", "city": "tokenize"})
+    c = read(spark, d, "customer")
+    return masking.mask(c.select("c_custkey", F.col("c_name").alias("email"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").cast("string").alias("phone")), rules)
+
+
 # Offsets and accounting
 
 _BATCH = f"{LOG}, n AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY user_id % 8 ORDER BY seq) - 1) / 100) AS BIGINT) AS batch_id, user_id % 8 AS partition_id FROM log), b AS (SELECT partition_id, batch_id, count(*) AS events, max(seq) AS last_position, max(ts_us) AS last_ts_us FROM n GROUP BY 1, 2)"
@@ -200,6 +222,60 @@ def latest_offset_per_destination(spark, d):
     return offsets.latest(_batches(spark, d).select(to.alias("destination"), "last_position", "last_ts_us"), ["destination"], "last_position")
 
 
+def _offsets(spark, d) -> DataFrame:
+    """An offset of each partition, committed at its last event's time."""
+    last = log(spark, d).groupBy((F.col("user_id") % 8).alias("partition_id")).agg(F.max("seq").alias("commitlog_position"), F.max("ts_us").alias("last_event_timestamp_micros"), F.count("*").alias("events")).withColumn("commitlog_file", F.lit("CommitLog-7-1.log"))
+    return offsets.create(last, "users", "ecommerce", "POSTGRES", count=None).withColumn("last_committed_at", F.timestamp_micros("last_event_timestamp_micros"))
+
+
+_OFFSETS = f"{LOG}, o AS (SELECT user_id % 8 AS partition_id, max(seq) AS commitlog_position, max(ts_us) AS last_event_timestamp_micros, count(*) AS events_replicated_count FROM log GROUP BY 1)"
+
+
+@query(f"WITH {_OFFSETS} SELECT partition_id, 'POSTGRES' AS destination, commitlog_position, last_event_timestamp_micros, events_replicated_count, 8 AS ids FROM o")
+def create_offsets(spark, d):
+    """New offsets, each with an id of its own."""
+    found = _offsets(spark, d)
+    ids = found.agg(F.count_distinct(F.concat("offset_id", F.col("partition_id").cast("string"))).cast("int").alias("ids"))
+    return found.crossJoin(F.broadcast(ids)).select("partition_id", "destination", "commitlog_position", "last_event_timestamp_micros", "events_replicated_count", "ids")
+
+
+@query(f"WITH {_OFFSETS} SELECT partition_id, commitlog_position FROM o WHERE partition_id = 3")
+def read_offset(spark, d):
+    held = _offsets(spark, d)
+    none = offsets.read(held, "users", "ecommerce", 3, "CLICKHOUSE")
+    return offsets.read(held, "users", "ecommerce", 3, "POSTGRES").union(none).select("partition_id", "commitlog_position")
+
+
+@query(f"WITH {LOG} SELECT seq FROM log WHERE ts_us >= {NOW} - 7 * 86400000000")
+def offset_cleanup(spark, d):
+    """Offsets of the last seven days stay."""
+    rows = log(spark, d).select("seq", F.timestamp_micros("ts_us").alias("last_committed_at"))
+    return offsets.clean(rows, F.timestamp_micros(F.lit(NOW))).select("seq")
+
+
+@query(f"WITH {LOG}, v AS (SELECT seq, array_to_string(list_filter([CASE WHEN seq % 13 = 0 THEN 'position' END, CASE WHEN seq % 17 = 0 THEN 'timestamp' END, CASE WHEN seq % 19 = 0 THEN 'count' END, CASE WHEN ts_us > {NOW} THEN 'committed_at' END, CASE WHEN seq % 23 = 0 THEN 'commitlog_file' END], lambda x: x IS NOT NULL), ',') AS violations FROM log) SELECT * FROM v WHERE violations <> ''")
+def offset_contract(spark, d):
+    n = F.col("seq")
+    rows = log(spark, d).select(
+        "seq", F.when(n % 13 == 0, -1).otherwise(n).alias("commitlog_position"), F.when(n % 17 == 0, -5).otherwise(F.col("ts_us")).alias("last_event_timestamp_micros"), F.when(n % 19 == 0, None).otherwise(1).alias("events_replicated_count"),
+        F.timestamp_micros("ts_us").alias("last_committed_at"), F.when(n % 23 == 0, "CommitLog-7.log").otherwise("CommitLog-7-12.log").alias("commitlog_file"),
+    )
+    return rows.select("seq", F.array_join(quality.offset_violations(F.timestamp_micros(F.lit(NOW))), ",").alias("violations")).filter("violations <> ''")
+
+
+@query(f"WITH {_BATCH}, f AS (SELECT CASE partition_id % 3 WHEN 0 THEN 'POSTGRES' WHEN 1 THEN 'CLICKHOUSE' ELSE 'TIMESCALEDB' END AS destination, batch_id, events, batch_id % 4 = 3 AS failed, last_ts_us FROM b), s AS (SELECT destination, CAST(coalesce(sum(events) FILTER (WHERE NOT failed), 0) AS BIGINT) AS events_written, count(*) FILTER (WHERE failed) AS errors_count, max(batch_id) FILTER (WHERE failed) AS last_error_batch, CAST(max(last_ts_us) FILTER (WHERE NOT failed) - min(last_ts_us) FILTER (WHERE NOT failed) AS DOUBLE) / 1000000.0::DOUBLE AS seconds FROM f GROUP BY 1) SELECT destination, events_written, errors_count, last_error_batch, round(CAST(events_written AS DOUBLE) / seconds, 9) AS events_per_second FROM s")
+def sink_statistics(spark, d):
+    to = F.element_at(F.array(*map(F.lit, DESTINATIONS)), (F.col("partition_id") % 3 + 1).cast("int"))
+    written = _batches(spark, d).select(to.alias("destination"), "batch_id", "events", (F.col("batch_id") % 4 == 3).alias("failed"), F.col("last_ts_us").alias("at_us"))
+    return accounting.sink_statistics(written).withColumn("events_per_second", F.round("events_per_second", 9))
+
+
+@query(f"WITH {LOG}, t AS (SELECT user_id, max(ts_us) AS deleted_us FROM log WHERE op = 'DELETE' GROUP BY 1) SELECT user_id, deleted_us FROM t WHERE deleted_us + 864000000000 > {NOW}")
+def tombstone_expiry(spark, d):
+    """Tombstones whose ten days of grace aren't over."""
+    return fold.expire(fold.tombstones(log(spark, d), ["user_id"], "ts_us").withColumnRenamed("deleted_at", "deleted_us"), NOW).select("user_id", "deleted_us")
+
+
 @query(f"WITH {LOG}, j AS (SELECT seq, user_id, ts_us - CASE WHEN seq % 11 = 0 THEN 172800000000 ELSE 0 END AS t FROM log), p AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY seq) AS previous_ts_us FROM j) SELECT user_id, seq, t, previous_ts_us FROM p WHERE t < previous_ts_us")
 def offset_monotonic_violations(spark, d):
     jittered = log(spark, d).select("seq", "user_id", (F.col("ts_us") - F.when(F.col("seq") % 11 == 0, F.lit(172_800_000_000)).otherwise(0)).alias("t"))
@@ -344,15 +420,18 @@ def retryable_errors(spark, d):
 
 _CQL = ("UUID", "text", "Int", "DECIMAL", "frozen<address>", "TUPLE<int,text>", "counter", "MAP<TEXT,INT>", "MAP", "duration", "timestamp")
 _CQL_VALUES = ", ".join(f"('{c}')" for c in _CQL)
-_MAP_VALUES = ", ".join(f"('{t}', '{c}', '{m}')" for t, types in typemap.TARGETS.items() for c, m in types.items())
+#: Fixed values, written out again so that the queries' SQL doesn't read the map that it checks: type, row store, column store.
+_TYPES_SQL = """m AS (SELECT t.target, x.cql_type, CASE t.target WHEN 'CLICKHOUSE' THEN x.c ELSE x.r END AS mapped FROM (VALUES ('POSTGRES'), ('TIMESCALEDB'), ('CLICKHOUSE')) t(target), (VALUES
+ ('UUID', 'uuid', 'UUID'), ('TEXT', 'text', 'String'), ('VARCHAR', 'varchar', 'String'), ('INT', 'integer', 'Int32'), ('BIGINT', 'bigint', 'Int64'), ('FLOAT', 'real', 'Float32'), ('DOUBLE', 'double precision', 'Float64'), ('DECIMAL', 'numeric', 'Decimal(18, 2)'), ('BOOLEAN', 'boolean', 'UInt8'),
+ ('TIMESTAMP', 'timestamptz', 'DateTime64(3)'), ('DATE', 'date', 'Date'), ('TIME', 'time', 'String'), ('BLOB', 'bytea', 'String'), ('MAP', 'jsonb', 'String'), ('LIST', 'jsonb', 'String'), ('SET', 'jsonb', 'String'), ('TUPLE', 'jsonb', 'String'), ('UDT', 'jsonb', 'String')) x(cql_type, r, c))"""
 
 
-@query(f"SELECT target, cql_type, mapped FROM (VALUES {_MAP_VALUES}) t(target, cql_type, mapped)")
+@query(f"WITH {_TYPES_SQL} SELECT target, cql_type, mapped FROM m")
 def type_map_all_targets(spark, d):
     return typemap.table(spark).select("target", "cql_type", "mapped")
 
 
-@query(f"WITH m AS (SELECT * FROM (VALUES {_MAP_VALUES}) t(target, cql_type, mapped)), c AS (SELECT * FROM (VALUES {_CQL_VALUES}) t(cql_type)), t AS (SELECT DISTINCT target FROM m) SELECT t.target, c.cql_type, coalesce(m.mapped, CASE t.target WHEN 'CLICKHOUSE' THEN 'String' ELSE 'text' END) AS mapped, m.mapped IS NULL OR regexp_matches(upper(c.cql_type), 'FROZEN<|TUPLE<|COUNTER') AS incompatible FROM c CROSS JOIN t LEFT JOIN m ON m.target = t.target AND m.cql_type = upper(c.cql_type)")
+@query(f"WITH {_TYPES_SQL}, c AS (SELECT * FROM (VALUES {_CQL_VALUES}) t(cql_type)), t AS (SELECT DISTINCT target FROM m) SELECT t.target, c.cql_type, coalesce(m.mapped, CASE t.target WHEN 'CLICKHOUSE' THEN 'String' ELSE 'text' END) AS mapped, m.mapped IS NULL OR regexp_matches(upper(c.cql_type), 'FROZEN<|TUPLE<|COUNTER') AS incompatible FROM c CROSS JOIN t LEFT JOIN m ON m.target = t.target AND m.cql_type = upper(c.cql_type)")
 def incompatible_columns(spark, d):
     c = spark.createDataFrame([(x,) for x in _CQL], "cql_type string")
     rows = [c.select(F.lit(t).alias("target"), "cql_type", typemap.map_column(F.col("cql_type"), t).alias("mapped"), typemap.incompatible(F.col("cql_type"), t).alias("incompatible")) for t in typemap.TARGETS]
@@ -379,12 +458,63 @@ def schema_compat_matrix(spark, d):
     return spark.createDataFrame(pairs, "old_type string, new_type string").withColumn("is_compatible", evolution.compatible(F.col("old_type"), F.col("new_type")))
 
 
-@query("SELECT * FROM (VALUES ('POSTGRES', 'id', 'uuid'), ('POSTGRES', 'age', 'bigint'), ('POSTGRES', 'name', 'text'), ('CLICKHOUSE', 'id', 'UUID'), ('CLICKHOUSE', 'age', 'Int64'), ('CLICKHOUSE', 'name', 'String'), ('TIMESCALEDB', 'id', 'uuid'), ('TIMESCALEDB', 'age', 'bigint'), ('TIMESCALEDB', 'name', 'text')) t(target, column_name, mapped)")
+@query(f"""WITH {_TYPES_SQL}, s AS (SELECT * FROM (VALUES ('id', 'uuid'), ('age', 'int'), ('name', 'text')) t(column_name, old_type)), g AS (SELECT * FROM (VALUES (1, 'age', 'bigint'), (2, 'city', 'varchar'), (3, 'name', NULL), (4, 'age', 'frozen<x>')) t(change, column_name, new_type)),
+ a AS (SELECT g.change, coalesce(s.column_name, g.column_name) AS column_name, s.old_type, g.new_type, s.column_name IS NOT DISTINCT FROM g.column_name OR s.column_name IS NULL AS touched FROM g, s UNION ALL SELECT change, column_name, NULL, new_type, true FROM g WHERE column_name NOT IN (SELECT column_name FROM s))
+SELECT a.change, t.target, a.column_name, coalesce(m.mapped, CASE t.target WHEN 'CLICKHOUSE' THEN 'String' ELSE 'text' END) AS mapped FROM a CROSS JOIN (SELECT DISTINCT target FROM m) t LEFT JOIN m ON m.target = t.target AND m.cql_type = upper(CASE WHEN touched THEN new_type ELSE old_type END) WHERE NOT (touched AND new_type IS NULL)""")
 def apply_schema_change(spark, d):
-    schema = evolution.TableSchema("shop", "users", {"id": "uuid", "age": "int", "name": "text"}, ("id",))
-    change = schema.compare(schema.evolve({"id": "uuid", "age": "bigint", "name": "text"}))[0]
-    rows = [(t, c, m) for t in typemap.TARGETS for c, m in evolution.apply(schema, change, t).items()]
-    return spark.createDataFrame(rows, "target string, column_name string, mapped string")
+    schema = evolution.TableSchema.create_initial("shop", "users", {"id": "uuid", "age": "int", "name": "text"}, ("id",))
+    changes = [evolution.Change("ALTER_TYPE", "age", "int", "bigint"), evolution.Change("ADD_COLUMN", "city", None, "varchar"), evolution.Change("DROP_COLUMN", "name", "text"), evolution.Change("ALTER_TYPE", "age", "int", "frozen<x>")]
+    rows = [(i + 1, t, c, m) for i, change in enumerate(changes) for t in typemap.TARGETS for c, m in evolution.apply(schema, change, t).items()]
+    return spark.createDataFrame(rows, "change int, target string, column_name string, mapped string")
+
+
+def _registry() -> evolution.Registry:
+    """Three tables with later versions: a widened type; a narrowed one; a renamed column, and a narrowed one with an override."""
+    found = evolution.Registry()
+    first = [evolution.TableSchema.create_initial("shop", t, {"id": "uuid", "v": "int", "w": "text"}, ("id",)) for t in ("a", "b", "c")]
+    for x in (*first, first[0].evolve({"id": "uuid", "v": "bigint", "w": "text"}), first[1].evolve({"id": "uuid", "v": "text", "w": "text"}), first[2].evolve({"id": "uuid", "v": "float", "x": "text"})):
+        found.register(x)
+    found.overrides["shop.c", "v"] = lambda c: c.cast("int")
+    return found
+
+
+@query("SELECT * FROM (VALUES ('shop.a', 2, 'ALTER_TYPE', 'v', 'int', 'bigint', true), ('shop.b', 2, 'ALTER_TYPE', 'v', 'int', 'text', false), ('shop.c', 2, 'ADD_COLUMN', 'x', NULL, 'text', true), ('shop.c', 2, 'ALTER_TYPE', 'v', 'int', 'float', false), ('shop.c', 2, 'DROP_COLUMN', 'w', 'text', NULL, true)) t(table_name, version, change_type, column_name, old_type, new_type, compatible)")
+def schema_audit(spark, d):
+    return _registry().audit(spark)
+
+
+@query(f"WITH {LOG}, t AS (SELECT seq, chr(CAST(97 + user_id % 3 AS INTEGER)) AS table_name FROM log) SELECT seq, table_name, table_name = 'b' AS dead FROM t")
+def route_by_policy(spark, d):
+    """Events of a table with an incompatible change go off, unless it is overridden; others go on."""
+    events = log(spark, d).select("seq", F.lit("shop").alias("keyspace"), F.chr(F.col("user_id") % 3 + 97).alias("table_name"))
+    good, bad = _registry().route(events)
+    return good.withColumn("dead", F.lit(False)).union(bad.withColumn("dead", F.lit(True))).select("seq", "table_name", "dead")
+
+
+@query(f"WITH {LOG} SELECT seq, user_id AS customer_id, value AS amount FROM log")
+def rename_columns(spark, d):
+    return evolution.rename(log(spark, d).select("seq", "user_id", "value"), {"user_id": "customer_id", "value": "amount", "none": "other"})
+
+
+@query("SELECT * FROM (VALUES (1, NULL, 2, true), (2, 1, 3, false), (5, 1, 2, true)) t(version, previous, columns, as_first)")
+def schema_versions(spark, d):
+    first = evolution.TableSchema.create_initial("shop", "users", {"id": "uuid", "v": "int"}, ("id",))
+    found = (first, first.evolve({**first.columns, "w": "text"}), first.with_version(5))
+    return spark.createDataFrame([(x.version, x.previous, len(x.columns), x.fingerprint() == first.fingerprint()) for x in found], "version int, previous int, columns int, as_first boolean")
+
+
+@query(f"WITH {LOG} SELECT seq, CAST(value * 100 AS BIGINT) AS n, CAST(value AS DOUBLE) AS f, ts_us AS at, has_value AS b, CAST(user_id AS VARCHAR) AS id, CAST(day AS DATE) AS day FROM log")
+def convert_values(spark, d):
+    """Text cells as their types."""
+    cells = log(spark, d).select("seq", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("n"), F.col("value").cast("string").alias("f"), F.col("ts_us").cast("string").alias("at"), F.col("has_value").cast("string").alias("b"), F.col("user_id").cast("string").alias("id"), F.col("day").cast("string").alias("day"))
+    kinds = {"n": "BIGINT", "f": "DOUBLE", "at": "TIMESTAMP", "b": "BOOLEAN", "id": "UUID", "day": "DATE"}
+    return cells.select("seq", *[typemap.convert(F.col(c), t).alias(c) for c, t in kinds.items()])
+
+
+@query(f"WITH {LOG} SELECT seq, CAST(user_id AS VARCHAR) AS user_id, CASE WHEN op <> 'DELETE' AND has_props THEN props END AS props, 1 + CAST((op <> 'DELETE' AND has_value) AS INTEGER) + CAST((op <> 'DELETE' AND has_props) AS INTEGER) AS cells FROM log")
+def project_rows(spark, d):
+    e = adapters.generic_events(log(spark, d)).select(F.col("event_id").cast("bigint").alias("seq"), fold.project_row().alias("m"))
+    return e.select("seq", F.col("m")["user_id"].alias("user_id"), F.col("m")["props"].alias("props"), F.size("m").alias("cells"))
 
 
 # Sources, sinks and streams
@@ -420,3 +550,34 @@ def stream_append(spark, d):
 @query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def daily_activity(spark, d):
     return read(spark, d, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query(f"WITH {LOG} SELECT strftime(date_trunc('month', make_timestamp(ts_us)), '%Y-%m-%d') AS chunk, op, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs FROM log WHERE op <> 'DELETE' GROUP BY 1, 2")
+def stream_hypertable(spark, d):
+    """Appended in chunks of a month, and counted by chunk as stored."""
+    sink = sinks.HypertableSink("TIMESCALEDB", shared(spark, "chunks"), {"value": 0.0, "props": ""}, "at")
+    stream = adapters.change_log(pipeline.file_stream(spark, f"{d}/events.parquet")).withColumn("at", F.timestamp_micros("ts_us"))
+    pipeline.start(stream, sink, shared(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(sink.path).groupBy(F.date_format("chunk", "yyyy-MM-dd").alias("chunk"), "op").agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
+
+
+@query(f"WITH {LOG} SELECT CAST(user_id AS VARCHAR) AS event_key, count(*) > 0 AS seen FROM log GROUP BY 1")
+def stream_deduplicated(spark, d):
+    """The first event of each key, within a watermark that all of them fit."""
+    stream = adapters.change_log(pipeline.file_stream(spark, f"{d}/events.parquet")).select(F.col("user_id").cast("string").alias("event_key"), F.timestamp_micros("ts_us").alias("at"))
+    path = shared(spark, "distinct")
+    pipeline.deduplicated(stream, "at", "3650 days").writeStream.format("parquet").option("path", path).option("checkpointLocation", shared(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(path).select("event_key", F.lit(True).alias("seen"))
+
+
+@query(f"WITH {LOG} SELECT op AS event_type, CAST(user_id AS VARCHAR) AS user_id, ts_us AS timestamp_micros FROM log")
+def stream_commitlog(spark, d):
+    """Segment files as a stream: the driver plans pieces of them, executors read them."""
+    folder, path = shared(spark, "segments"), shared(spark, "frames")
+    rows = adapters.generic_events(log(spark, d)).withColumn("seq", F.col("event_id").cast("bigint"))
+    commitlog.write_segments(rows.withColumn("commitlog_file", F.concat(F.lit("CommitLog-7-"), F.floor(F.col("seq") / 2000).cast("string"), F.lit(".log"))), mounted(folder))
+    spark.dataSource.register(commitlog.CommitLogSource)
+    stream = spark.readStream.format("commitlog").option("path", mounted(folder)).option("piecebytes", 64 << 10).load()
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", shared(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    found = commitlog.parse(spark.read.schema(stream.schema).parquet(path))
+    return found.select("event_type", F.col("partition_key")["user_id"].alias("user_id"), "timestamp_micros")
