@@ -451,7 +451,7 @@ class Reader:
         key = f"{table}.{name}"
         if key not in self.files:
             path = f"{self.m['home']}/{key}.npy"
-            self.files[key] = (np.load(path, mmap_mode="r") if os.path.getsize(path) > 4096 else np.load(path)) if os.path.exists(path) else None
+            self.files[key] = (np.load(path, mmap_mode="r").view(np.ndarray) if os.path.getsize(path) > 4096 else np.load(path)) if os.path.exists(path) else None
         return self.files[key]
 
     def narrow(self, table: str, name: str) -> Narrow | None:
@@ -489,18 +489,22 @@ class Reader:
 
     def look_up(self, table: str, shard: np.ndarray, hashes: np.ndarray, columns: tuple[str, ...] = ()) -> np.ndarray:
         """Whether each hash is there, and its columns."""
-        out = np.zeros((1 + len(columns), len(hashes)), np.int64)
-        order = np.lexsort((hashes, shard))
+        found = np.zeros((1 + len(columns), len(hashes)), np.int64)
+        bits = _U(max(1, int(self.m["shards"] - 1).bit_length()))
+        order = np.argsort((shard.astype(_U) << (_U(64) - bits)) | (hashes >> bits))  # by shard, then hash, in one sort
+        hashes = hashes[order]
         edge = np.searchsorted(shard[order], np.arange(self.m["shards"] + 1))
         for s in np.flatnonzero(np.diff(edge)).tolist():
-            part, index = order[edge[s] : edge[s + 1]], self.file(f"{table}-{s}", "index")
+            part, index = slice(edge[s], edge[s + 1]), self.file(f"{table}-{s}", "index")
             if index is None:
                 continue
             at = _find(index, self.file(f"{table}-{s}", "low"), hashes[part])
-            hit = at >= 0
-            out[0, part[hit]] = 1
+            hit = np.flatnonzero(at >= 0)
+            found[0, part][hit] = 1
             for i, name in enumerate(columns):
-                out[1 + i, part[hit]] = self.narrow(f"{table}-{s}", name)(at[hit])
+                found[1 + i, part][hit] = self.narrow(f"{table}-{s}", name)(at[hit])
+        out = np.empty_like(found)
+        out[:, order] = found
         return out
 
     def probabilities(self, token: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
