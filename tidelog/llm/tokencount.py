@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm._shared import Stages, bounded, chunks, local_path, map_batches, map_groups, new_path, record
 from tidelog.llm._words import SPACES, mix, powers, words
-from tidelog.llm.lm import Reader, _deal, _narrow, _save
+from tidelog.llm.lm import Reader, _deal, _narrow, _save, _varint, _varints
 
 #: Longer pre-tokens, in characters, are paths of their own.
 LONG = 1024
@@ -173,9 +173,9 @@ def load(path: str) -> list[str]:
 
 
 def pretokens(documents: DataFrame, stage: Stages) -> DataFrame:
-    """h, word and n of every distinct pre-token, in order of text within partitions that are ranges of it.
+    """word and n of every distinct pre-token, in order of text within partitions that are ranges of it.
 
-    Tasks hand on their distinct pre-tokens packed, a row for each shard of hashes, and a shard merges them.
+    Tasks hand on their distinct pre-tokens as joined text, a row for each shard of hashes, and a shard merges them.
     """
     texts = documents.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -206,17 +206,27 @@ def pretokens(documents: DataFrame, stage: Stages) -> DataFrame:
 
     def deal(h, word, n):
         for s, part in _deal((h % _U(shards)).astype(np.int64), shards):
-            yield record(shard=pa.array([s], pa.int32()), h=pa.array([h[part].tobytes()], pa.binary()), words=pa.array([b"\n".join(word.take(pa.array(part)).to_pylist())], pa.binary()), n=pa.array([n[part].tobytes()], pa.binary()))
+            part = part[pa.compute.sort_indices(word.take(pa.array(part))).to_numpy()]  # neighbours are alike, which compresses
+            yield record(shard=pa.array([s], pa.int32()), words=pa.array([b"\n".join(word.take(pa.array(part)).to_pylist())], pa.binary()), n=pa.array([_varint(n[part])], pa.binary()))
 
     def merge(group: pa.Table) -> pa.Table:
-        h, word, n = distinct([(np.frombuffer(a, _U), pa.array(b.split(b"\n"), pa.binary()), np.frombuffer(c, np.int64)) for a, b, c in zip(*(group.column(x).to_pylist() for x in ("h", "words", "n")), strict=True)])
-        return pa.table({"h": pa.array(h.view(np.int64)), "word": word.cast(pa.string()), "n": pa.array(n)})
+        every = pa.concat_arrays([pa.array(x.split(b"\n"), pa.binary()) for x in group.column("words").to_pylist()]).dictionary_encode()
+        n = np.bincount(every.indices, np.concatenate([_varints(x, 1)[0] for x in group.column("n").to_pylist()]), len(every.dictionary))
+        return pa.table({"word": every.dictionary.cast(pa.string()), "n": pa.array(n.astype(np.int64))})
 
-    packed = map_batches(texts, gather, "shard int, h binary, words binary, n binary")
-    found = stage(map_groups(packed.groupBy("shard"), documents.sparkSession, merge, "h bigint, word string, n bigint"), "distinct")
+    packed = map_batches(texts, gather, "shard int, words binary, n binary")
+    found = stage(map_groups(packed.groupBy("shard"), documents.sparkSession, merge, "word string, n bigint"), "distinct")
     return stage(found.repartitionByRange("word").sortWithinPartitions("word"), "pretokens")
 
 
+def hashes(found: list[str]) -> np.ndarray:
+    """As words() has them."""
+    pieces = [np.zeros(0, _U)]
+    for at in range(0, len(found), 10_000):
+        pieces.append(words(pa.array(["\n".join(found[at : at + 10_000])], pa.large_string()), SPACES, fold=False).hash)
+    return np.concatenate(pieces)
+
+
 def _tries(batches):
     """Tables of the pre-tokens of one trie."""
     for batch in batches:
@@ -256,13 +266,15 @@ def _store(table: DataFrame, model: Unigram, home: str, shards: int, stage: Stag
     def run(batches):
         m = Unigram(*sent.value)
         for b in _tries(batches):
-            tokens, _ = m.run([MARK + x for x in b.column("word").to_pylist()])
-            for s, part in _deal((b.column("h").to_numpy().view(_U) % _U(shards)).astype(np.int64), shards):
-                yield record(shard=pa.array([s], pa.int32()), h=pa.array([b.column("h").to_numpy()[part].tobytes()], pa.binary()), tokens=pa.array([tokens[part].tobytes()], pa.binary()))
+            found = b.column("word").to_pylist()
+            h, (tokens, _) = hashes(found), m.run([MARK + x for x in found])
+            for s, part in _deal((h % _U(shards)).astype(np.int64), shards):
+                yield record(shard=pa.array([s], pa.int32()), h=pa.array([h[part].tobytes()], pa.binary()), tokens=pa.array([_varint(tokens[part])], pa.binary()))
 
     def write(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        h, tokens = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("h", _U), ("tokens", np.int64)))
+        h = np.frombuffer(b"".join(group.column("h").to_pylist()), _U)
+        tokens = np.concatenate([_varints(x, 1)[0] for x in group.column("tokens").to_pylist()])
         order = np.argsort(h)
         _save(f"{home}/tokens-{shard}", name=h[order], **_narrow(tokens[order], "tokens"))
         return pa.table({"n": pa.array([len(h)], pa.int64())})
