@@ -90,3 +90,33 @@ def test_long_windows_and_patterns_of_many_lengths(spark):
     bench = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
     got = {x.doc_id: (x.n_words, x.n_hit) for x in decontaminate.contamination(docs, bench, window=400).collect()}
     assert got == {1: (702, 700), 2: (399, 0), 3: (401, 401)}
+
+
+def test_token_files_have_stripes_and_skip_by_index_and_bloom_filter(spark, tmp_path):
+    import pyarrow.orc as orc
+
+    r = random.Random(2)
+    # Only even ids, so that an odd one is within every range and its Bloom filter alone tells.
+    rows = [(2 * i, " ".join(str(r.randrange(10**9)) for _ in range(60))) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = str(tmp_path / "tokens")
+    tokenfile.write(docs, out, vocabulary("byte_bpe_50k.json"), file_bytes=1 << 30, stripe_bytes=200_000, stride=1000)
+    files = sorted((tmp_path / "tokens").glob("*.orc"))
+    assert max(orc.ORCFile(f).nstripes for f in files) > 1
+
+    def touched(ids):
+        found = tokenfile.read_documents(spark, out, ids)
+        got = found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        plan = leaf.executedPlan() if hasattr(leaf, "executedPlan") and "Adaptive" in leaf.nodeName() else leaf
+        return got, plan.metrics().apply("numOutputRows").value()
+
+    got, read = touched([8000])
+    assert [x.doc_id for x in got] == [8000] and 0 < read <= 2000
+    got, read = touched([8001])
+    assert got == [] and read <= 1000
+    whole = {x.doc_id: (x.start, x.n_tokens) for x in tokenfile.read_tokens(spark, out).collect()}
+    at = 0
+    for i, _ in rows:
+        assert whole[i][0] == at
+        at += whole[i][1]

@@ -17,13 +17,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tidelog.llm._shared import bounded, chunks, map_batches, new_path
+from tidelog.llm._shared import bounded, chunks, if_small, map_batches, new_path, stage
 from tidelog.llm.bpe import _byte_chars
 
-#: Bytes of text in a file, about.
-FILE_BYTES = 32 << 20
-#: The split pattern of byte-level vocabularies of this kind (a fixed value).
+#: Bytes of text in a file, about; and of a stripe, of which a file has several.
+FILE_BYTES, STRIPE_BYTES = 64 << 20, 8 << 20
+#: Rows between two entries of a row index.
+STRIDE = 1000
+#: Files whose places are summed together; their sums, one for each group, come to the driver.
+TOGETHER = 1000
+#: The split pattern that the library's byte-level pre-tokenizer has, as files of this kind don't hold it (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -39,6 +44,9 @@ class Encoder:
         self.path, self.slow = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        split = spec["pre_tokenizer"]
+        if split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"] or spec["normalizer"]:
+            raise ValueError(f"not a plain byte-level file: {path}")
         byte = {c: i for i, c in enumerate(_byte_chars())}
         special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
@@ -66,11 +74,12 @@ def load(path: str) -> Encoder:
     return _loaded[path]
 
 
-def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes: int = FILE_BYTES) -> None:
+def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes: int = FILE_BYTES, stripe_bytes: int = STRIPE_BYTES, stride: int = STRIDE) -> None:
     """Write doc_id, part, place (ids of the file before this row), n_tokens and ids of every row.
 
     end_id follows each document's ids. Null and empty texts have it alone. Null doc_ids come first; rows of equal doc_id
-    are in order of their texts. An empty table gives an empty file. Other columns aren't written.
+    are in order of their texts. An empty table gives an empty file. Texts of any length are a row each. Other columns,
+    of whatever names, aren't written.
     """
     spark = bounded(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -93,20 +102,31 @@ def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-size // file_bytes), spark.sparkContext.defaultParallelism)
     ordered = source.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id", "text")
-    options = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(64 << 20)}
+    options = {"orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.rows.between.memory.checks": "200"}
     map_batches(ordered, run, f"doc_id {kind}, part int, place bigint, n_tokens bigint, ids array<int>").write.options(**options).orc(out)
 
 
+def _schema(kind: T.DataType | None) -> T.StructType:
+    return T.StructType([T.StructField("doc_id", kind or T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+
+def read_documents(spark: SparkSession, path: str, doc_ids: list, kind: T.DataType | None = None) -> DataFrame:
+    """doc_id, n_tokens and ids of some documents. Files, stripes and index strides without them are skipped by their statistics and Bloom filters."""
+    return spark.read.schema(_schema(kind)).orc(path).filter(F.col("doc_id").isin(doc_ids)).select("doc_id", "n_tokens", "ids")
+
+
 def read_tokens(spark: SparkSession, path: str, kind: T.DataType | None = None) -> DataFrame:
     """The files' rows, with `start`: the ids of all documents before this one."""
-    schema = T.StructType([T.StructField("doc_id", kind or T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    rows = spark.read.schema(schema).orc(path)
-    base, files = 0, []
-    for part, n in rows.groupBy("part").agg(F.sum("n_tokens")).orderBy("part").collect():  # a row for each file
-        files.append((part, base))
+    rows = spark.read.schema(_schema(kind)).orc(path)
+    totals = stage(rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("group", F.floor(F.col("part") / TOGETHER)), "totals")
+    groups, base = [], 0
+    for group, n in totals.groupBy("group").agg(F.sum("n")).orderBy("group").collect():  # a row for TOGETHER files
+        groups.append((group, base))
         base += n
-    bases = spark.createDataFrame(files, "part int, base bigint")
-    return rows.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids")
+    before = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = totals.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    bases = stage(within.join(F.broadcast(spark.createDataFrame(groups, "group bigint, first bigint")), "group").select("part", (F.col("first") + F.col("before")).alias("base")), "bases")
+    return rows.join(if_small(bases, 32), "part").select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids")
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
