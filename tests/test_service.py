@@ -142,3 +142,24 @@ def test_parity_sees_repeated_rows_and_rows_project_without_settings(spark):
     assert sorted(map(tuple, fold.parity(a, b, ["k"]).collect())) == [(1, "different"), (3, "missing_right"), (4, "missing_left")]
     e = spark.createDataFrame([({"id": "1", "x": "p"}, {"x": "c"}, {"y": None, "id": "9"})], "partition_key map<string,string>, clustering_key map<string,string>, columns map<string,string>")
     assert e.select(fold.project_row().alias("m")).first().m == {"id": "9", "x": "c", "y": None}
+
+
+def test_settings_from_environment_and_limits(tmp_path, monkeypatch):
+    monkeypatch.setenv("TIDELOG_KEY", "secret")
+    (tmp_path / "a.yaml").write_text("phi_key: ${TIDELOG_KEY}\npii_salt: ${NOT_SET:-salt}\ndestinations:\n  postgres: {enabled: true, options: {a: {b: 1, c: 2}}}\n")
+    (tmp_path / "b.yaml").write_text("destinations:\n  postgres: {options: {a: {c: 3}}}\n")
+    s = config.load(str(tmp_path / "a.yaml"), str(tmp_path / "b.yaml"))
+    assert (s.phi_key, s.pii_salt, s.destinations.postgres.enabled, s.destinations.postgres.options) == ("secret", "salt", True, {"a": {"b": 1, "c": 3}})
+    with pytest.raises(ValueError):
+        config.load(pipeline={"batch_size": 0})
+
+
+def test_triggers_take_a_bounded_number_of_pieces(tmp_path):
+    write(tmp_path, "CommitLog-7-1.log", *[entry("I", i, {}, i) for i in range(20)])
+    reader = commitlog._Reader(str(tmp_path / "log"), 200, 3)
+    whole = reader.latestOffset()
+    pieces = reader.partitions({}, whole)
+    assert len(pieces) > 3 and sum(p.end - p.start for p in pieces) == whole["CommitLog-7-1.log"]
+    write(tmp_path, "CommitLog-7-1.log", *[entry("I", i, {}, i) for i in range(20)])
+    some = reader.latestOffset()
+    assert len(reader.partitions(whole, some)) == 3 and reader.latestOffset() != some

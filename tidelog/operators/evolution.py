@@ -91,6 +91,11 @@ def diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return joined.withColumn("change_type", kind).filter("change_type IS NOT NULL").withColumn("is_compatible", F.when(F.col("change_type") == "ALTER_TYPE", compatible(F.col("old_type"), F.col("new_type"))).otherwise(True))
 
 
+def incompatible(old: TableSchema, new: TableSchema) -> list[Change]:
+    """Changes that no destination can follow; the two are compatible if there are none."""
+    return [c for c in old.compare(new) if not c.is_compatible()]
+
+
 def supported(change: Change, target: str) -> bool:
     return change.is_compatible() and (change.new_type is None or typemap.mapped(change.new_type, target) is not None)
 

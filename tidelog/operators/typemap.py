@@ -45,6 +45,12 @@ def incompatible(cql: Column, target: str) -> Column:
     return up.contains("FROZEN<") | up.contains("TUPLE<") | up.contains("COUNTER") | F.try_element_at(known, up).isNull()
 
 
+def incompatible_of(schemas: DataFrame, target: str) -> DataFrame:
+    """For each schema (keyspace, table_name, column_name, cql_type), its columns that the target can't hold, in order; none as an empty list."""
+    bad = F.when(incompatible(F.col("cql_type"), target), F.col("column_name"))
+    return schemas.groupBy("keyspace", "table_name").agg(F.sort_array(F.collect_list(bad)).alias("columns"))
+
+
 def convert(value: Column, cql: str) -> Column:
     """A text cell as its type; times stay numbers of microseconds, identifiers and unknown types stay text."""
     return value.cast(SPARK.get(cql.upper(), T.StringType()))

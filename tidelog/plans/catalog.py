@@ -468,6 +468,37 @@ def apply_schema_change(spark, d):
     return spark.createDataFrame(rows, "change int, target string, column_name string, mapped string")
 
 
+@query("SELECT * FROM (VALUES ('CLICKHOUSE', 'a', 'f,t'), ('CLICKHOUSE', 'b', ''), ('POSTGRES', 'a', 'f,t'), ('POSTGRES', 'b', ''), ('TIMESCALEDB', 'a', 'f,t'), ('TIMESCALEDB', 'b', '')) t(target, table_name, columns)")
+def incompatible_by_schema(spark, d):
+    rows = [("shop", "a", "id", "uuid"), ("shop", "a", "t", "tuple<int,int>"), ("shop", "a", "f", "frozen<x>"), ("shop", "b", "id", "uuid"), ("shop", "b", "m", "map")]
+    schemas = spark.createDataFrame(rows, "keyspace string, table_name string, column_name string, cql_type string")
+    parts = [typemap.incompatible_of(schemas, t).select(F.lit(t).alias("target"), "table_name", F.array_join("columns", ",").alias("columns")) for t in typemap.TARGETS]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query(f"WITH {_TYPES_SQL} SELECT cql_type, CASE cql_type WHEN 'TIMESTAMP' THEN 'timestamptz(3)' WHEN 'LIST' THEN 'text[]' ELSE mapped END AS mapped FROM m WHERE target = 'POSTGRES'")
+def type_map_overlay(spark, d):
+    """A destination's own names over those of another."""
+    found = typemap.overlay(typemap.ROW_STORE, {"TIMESTAMP": "timestamptz(3)", "LIST": "text[]"})
+    return spark.createDataFrame(list(found.items()), "cql_type string, mapped string")
+
+
+@query("SELECT * FROM (VALUES (1, true, ''), (2, false, 'v'), (3, false, 'id,v'), (4, true, ''), (5, false, 'id')) t(pair, compatible, columns)")
+def schema_pairs(spark, d):
+    """Pairs of schemas: equal; a narrowed column; another key and a narrowed column; widened and added; a new key."""
+    make = evolution.TableSchema.create_initial
+    base = make("shop", "users", {"id": "uuid", "v": "int", "w": "text"}, ("w",), ("id",))
+    others = (base, base.evolve({"id": "uuid", "v": "text", "w": "text"}), make("shop", "users", {"id": "uuid", "v": "text", "w": "text"}, ("w",)), base.evolve({"id": "uuid", "v": "bigint", "w": "varchar", "x": "int"}), make("shop", "users", {"id": "uuid", "v": "int", "w": "text"}, ("w",)))
+    found = [evolution.incompatible(base, x) for x in others]
+    return spark.createDataFrame([(i + 1, not x, ",".join(sorted({c.column_name for c in x}))) for i, x in enumerate(found)], "pair int, compatible boolean, columns string")
+
+
+@query("SELECT t.target, c.name, c.ok AND (c.target IS NULL OR c.target = t.target) AS supported FROM (VALUES ('POSTGRES'), ('CLICKHOUSE'), ('TIMESCALEDB')) t(target), (VALUES ('add_known', true, NULL), ('add_unknown', false, NULL), ('widen', true, NULL), ('narrow', false, NULL), ('drop', true, NULL)) c(name, ok, target)")
+def supported_changes(spark, d):
+    changes = {"add_known": evolution.Change("ADD_COLUMN", "x", None, "varchar"), "add_unknown": evolution.Change("ADD_COLUMN", "x", None, "duration"), "widen": evolution.Change("ALTER_TYPE", "x", "int", "bigint"), "narrow": evolution.Change("ALTER_TYPE", "x", "bigint", "int"), "drop": evolution.Change("DROP_COLUMN", "x", "duration")}
+    return spark.createDataFrame([(t, n, evolution.supported(c, t)) for t in typemap.TARGETS for n, c in changes.items()], "target string, name string, supported boolean")
+
+
 def _registry() -> evolution.Registry:
     """Three tables with later versions: a widened type; a narrowed one; a renamed column, and a narrowed one with an override."""
     found = evolution.Registry()
@@ -581,3 +612,13 @@ def stream_commitlog(spark, d):
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", shared(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     found = commitlog.parse(spark.read.schema(stream.schema).parquet(path))
     return found.select("event_type", F.col("partition_key")["user_id"].alias("user_id"), "timestamp_micros")
+
+
+@query(f"WITH {LOG}, e AS (SELECT seq, CASE WHEN seq % 31 = 0 THEN 'X' ELSE op[1] END AS k, CASE user_id % 3 WHEN 0 THEN 'time_series' WHEN 1 THEN 'sessions' ELSE 'people' END AS t, seq % 5 = 0 AS ttl FROM log), f AS (SELECT seq, CASE k WHEN 'I' THEN 'INSERT' WHEN 'U' THEN 'UPDATE' WHEN 'D' THEN 'DELETE' END AS event_type, CASE t WHEN 'people' THEN 'users' ELSE t END AS table_name, CASE WHEN t = 'time_series' THEN 1 ELSE 0 END AS clustering, k, ttl FROM e) SELECT seq AS position, event_type, table_name, clustering, CASE WHEN k = 'D' THEN 0 ELSE 2 END AS cells, CASE WHEN ttl THEN 3600 END AS ttl_seconds, CASE WHEN k = 'X' THEN 'unknown operation' END AS parse_error FROM f")
+def plain_entries(spark, d):
+    """Entries that hold an operation and a table's name alone."""
+    table = F.element_at(F.array(*map(F.lit, ("time_series", "sessions", "people"))), (F.col("user_id") % 3 + 1).cast("int"))
+    op = F.when(F.col("seq") % 31 == 0, "X").otherwise(F.substring("op", 1, 1))
+    rows = log(spark, d).select(F.lit("CommitLog-7-1.log").alias("commitlog_file"), F.col("seq").alias("position"), F.encode(F.concat(op, F.lit(" INTO "), table, F.when(F.col("seq") % 5 == 0, " USING TTL 10").otherwise("")), "UTF-8").alias("entry"))
+    found = commitlog.parse_plain(rows, NOW)
+    return found.select("position", "event_type", "table_name", F.size("clustering_key").alias("clustering"), F.size("columns").alias("cells"), "ttl_seconds", "parse_error")

@@ -87,6 +87,22 @@ def parse(rows: DataFrame) -> DataFrame:
     )
 
 
+def parse_plain(rows: DataFrame, now_us: int, keyspace: str = "ecommerce") -> DataFrame:
+    """Generic events of entries without a payload: the operation byte and the table's name are all that is read, the rest is made up as fixed."""
+    text, op = F.col("entry").cast("string"), F.substring(F.col("entry"), 1, 1).cast("string")
+    kind = F.when(op == "I", "INSERT").when(op == "U", "UPDATE").when(op == "D", "DELETE")
+    error = F.when(F.octet_length("entry") < 10, "entry of less than 10 bytes").when(kind.isNull(), "unknown operation")
+    table = F.when(text.contains("time_series"), "time_series").when(text.contains("sessions"), "sessions").otherwise("users")
+    none = F.create_map().cast("map<string,string>")
+    # Fixed values.
+    cells = F.create_map(F.lit("email"), F.lit("parsed@example.com"), F.lit("age"), F.lit("30"))
+    return rows.select(
+        F.concat_ws(":", "commitlog_file", F.col("position").cast("string")).alias("event_id"), kind.alias("event_type"), table.alias("table_name"), F.lit(keyspace).alias("keyspace"), F.create_map(F.lit("user_id"), F.expr("uuid()")).alias("partition_key"),
+        F.when(table == "time_series", F.create_map(F.lit("timestamp"), F.lit(str(now_us)))).otherwise(none).alias("clustering_key"), F.when(kind == "DELETE", none).otherwise(cells).alias("columns"), F.lit(now_us).cast("bigint").alias("timestamp_micros"),
+        F.when(text.contains("TTL "), 3600).alias("ttl_seconds"), "commitlog_file", "position", error.alias("parse_error"),
+    )
+
+
 def read_events(spark: SparkSession, folder: str, keyspace: str | None = None, table: str | None = None, start_file: str | None = None, start_position: int = -1) -> tuple[DataFrame, DataFrame]:
     """Events in log order after a place, and the entries that can't be read. An unknown start file means from the oldest."""
     rows = read_frames(spark, folder)
@@ -231,4 +247,4 @@ class _Reader(DataSourceStreamReader):
         pass
 
 
-__all__ = ["CommitLogSource", "encode", "frames", "order_of", "parse", "read_events", "read_frames", "write_segments"]
+__all__ = ["CommitLogSource", "encode", "frames", "order_of", "parse", "parse_plain", "read_events", "read_frames", "write_segments"]
