@@ -151,16 +151,18 @@ def kneser_ney(rows):
     pairs.update((b, c) for _, b, c in triples)
     single = Counter(b for _, b in pairs)
 
-    def level(counts):
+    def level(counts, d):
         """Discounted share of each, and of its context left over."""
-        d, of = by_hand(counts.values()), defaultdict(list)
+        of = defaultdict(list)
         for key, c in counts.items():
             of[key[:-1]].append(c)
         less = lambda c: d[min(c, 3) - 1]
         return (lambda key: max(0, counts[key] - less(counts[key])) / sum(of[key[:-1]]) if counts[key] else 0.0), (lambda context: sum(map(less, of[context])) / sum(of[context]) if context in of else None)
 
     singles = Counter({(k,): c for k, c in single.items()})
-    levels = [level(x) for x in (singles, pairs, triples)]
+    d1, d2, d3 = (by_hand(x.values()) for x in (singles, pairs, triples))
+    d3 = d3[0], min(d3[1], d3[0] * d2[1] / d2[0]), min(d3[2], d3[0] * d2[2] / d2[0])
+    levels = [level(singles, d1), level(pairs, d2), level(triples, d3)]
 
     def p(key):
         share, left = levels[len(key) - 1]

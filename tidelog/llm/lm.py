@@ -15,8 +15,10 @@ of n entries are taken for one another with a chance below 2 ** -32 * 64, whatev
     p(w)       = max(0, k(w) - D1(k)) / K + (D1 . M) / K / (V + 1)
 
 c: counts; k(v w): distinct words before v w, or the count where v is a text's begin; k(w): distinct words before w; K:
-their sums; N and M: how many of a context's counts are 1, 2 and more; D: discounts from the numbers of counts 1 to 4. A
-context that training hasn't seen leaves all to the shorter one. Shard files are written by name and replaced whole, so a
+their sums; N and M: how many of a context's counts are 1, 2 and more; D: discounts from the numbers of counts 1 to 4. Those
+numbers take tokens for drawn one by one, and whole copies of texts, which fill the counts of triples in twos, would raise
+D3(2) until a triple seen twice were less likely than one seen once. Copies don't count in k, so D3(2) and D3(3) are at
+most as many times D3(1) as D2(2) and D2(3) are times D2(1). A context that training hasn't seen leaves all to the shorter one. Shard files are written by name and replaced whole, so a
 task that runs twice leaves one file.
 """
 
@@ -408,7 +410,8 @@ def _count_triples(texts: DataFrame, m: dict, stage: Stages) -> dict:
     sums = [F.sum(F.col("classes")[i]).alias(f"n{i}") for i in range(5)]
     of = {r.kind: [r[f"n{i}"] or 0 for i in range(5)] for r in both.filter("kind IN ('triples', 'classes')").groupBy("kind").agg(*sums).collect()}
     of |= {"words": [x or 0 for x in totals.agg(*sums).first()]}
-    return {"K": totals.agg(F.sum("k")).first()[0] or 0, "M": [of["words"][0], of["words"][1], of["words"][4]], "D": [discounts(of.get(x, [0] * 4)[:4]) for x in ("words", "classes", "triples")]}
+    d1, d2, d3 = (discounts(of.get(x, [0] * 4)[:4]) for x in ("words", "classes", "triples"))
+    return {"K": totals.agg(F.sum("k")).first()[0] or 0, "M": [of["words"][0], of["words"][1], of["words"][4]], "D": [d1, d2, bounded_by(d3, d2)]}
 
 
 def _locally(keys: list[np.ndarray], count: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -427,6 +430,11 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(d, 0.05), top) for d, top in zip(raw, (0.95, 1.9, 2.8), strict=True)]
 
 
+def bounded_by(d: list[float], below: list[float]) -> list[float]:
+    """Discounts that don't grow more with the count than those of the order below."""
+    return [d[0], *(min(x, d[0] * y / below[0]) for x, y in zip(d[1:], below[1:], strict=True))]
+
+
 class Narrow:
     """Numbers that _narrow() has written."""
 
