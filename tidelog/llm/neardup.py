@@ -347,9 +347,10 @@ def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups:
     reached = both.drop("probe").withColumn("probe", F.lit(False)).join(near.select(F.col("q").alias("v")), "v", "left_semi").select(*both.columns)
     more = more.union(last.filter("link").select("u", "v")).union(_compare_around(reached.union(last.withColumn("probe", F.lit(True))), percent, stage))
     labels = components(links.union(more), stage).withColumnRenamed("u", "fp")
-    member = nodes.select("fp", "doc").join(labels, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-    least = member.groupBy("c").agg(F.min("doc").alias("component_id"))
-    member = member.join(least, "c").select("fp", "component_id")
+    linked = stage(nodes.select("fp", "doc").join(labels, "fp"), "linked")
+    least = stage(linked.groupBy("c").agg(F.min("doc").alias("component_id")), "least")
+    named = linked.join(if_small(least, 24), "c").select("fp", "component_id")
+    member = nodes.select("fp", "doc").join(named, "fp", "left").select("fp", F.coalesce("component_id", "doc").alias("component_id"))
     out = found.select("doc_id", "n", "fp").join(member, "fp", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
