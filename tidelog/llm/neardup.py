@@ -347,6 +347,7 @@ def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups:
     reached = both.drop("probe").withColumn("probe", F.lit(False)).join(near.select(F.col("q").alias("v")), "v", "left_semi").select(*both.columns)
     more = more.union(last.filter("link").select("u", "v")).union(_compare_around(reached.union(last.withColumn("probe", F.lit(True))), percent, stage))
     labels = components(links.union(more), stage).withColumnRenamed("u", "fp")
+    labels = labels.select("fp", "c").union(labels.select(F.col("c").alias("fp"), "c").distinct())  # a component's smallest node is in it, too
     linked = stage(nodes.select("fp", "doc").join(labels, "fp"), "linked")
     least = stage(linked.groupBy("c").agg(F.min("doc").alias("component_id")), "least")
     named = linked.join(if_small(least, 24), "c").select("fp", "component_id")
