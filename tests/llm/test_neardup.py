@@ -1,10 +1,14 @@
 import random
 import re
+from collections import Counter, defaultdict
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tidelog.llm import neardup
 
+TABLE = Path("/root/testdata/sf0.01/documents.parquet")
 
 def brute(rows, k, percent=80):
     sets = {}
@@ -68,3 +72,40 @@ def test_empty_table_and_clashing_columns(spark):
     assert neardup.near_duplicates(df).count() == 0
     df = spark.createDataFrame([(1, "a b c d e f", 5, "x"), (2, "a b c d e f", 6, "y"), (None, "a b c d e f", 7, "z")], "doc_id bigint, text string, n bigint, fp string")
     assert sorted((r.doc_id or 0, r.fp) for r in neardup.drop_near_duplicates(df).collect()) == [(0, "z"), (1, "x")]
+
+
+def exact_components(rows, k):
+    """Components by an exact join: sets of at least four fifths in common share one of their rarest fifth of shingles."""
+    nodes = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        if w:
+            nodes.setdefault(frozenset(tuple(w[a : a + k]) for a in range(len(w) - k + 1)) or frozenset([tuple(w)]), []).append(i)
+    sets = sorted(nodes, key=len)
+    often, index, parent = Counter(x for s in sets for x in s), defaultdict(list), list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i, s in enumerate(sets):
+        rare = sorted(s, key=lambda x: (often[x], x))[: len(s) - (4 * len(s) + 4) // 5 + 1]
+        for j in {j for x in rare for j in index[x]}:
+            if 100 * len(s & sets[j]) >= 80 * len(s | sets[j]):
+                parent[find(i)] = find(j)
+        for x in rare:
+            index[x].append(i)
+    members = defaultdict(list)
+    for i, s in enumerate(sets):
+        members[find(i)] += nodes[s]
+    return {d: min(m) for m in members.values() for d in m}
+
+
+@pytest.mark.skipif(not TABLE.exists(), reason="no table")
+@pytest.mark.parametrize("shingle", [2, 5])
+def test_given_documents_equal_an_exact_join(spark, shingle):
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(TABLE, columns=["doc_id", "text"]).to_pylist()]
+    want = exact_components(rows, shingle)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.read.parquet(str(TABLE)), shingle=shingle).collect()}
+    assert {i: got[i] for i in want} == want and all(got[i] == i for i in got.keys() - want.keys())
