@@ -29,6 +29,9 @@ def text(page):
     ("<article><p>1 < 2 and a <! bogus > b <!--x--> c</p><p>left out<!-- rest", "1 < 2 and a b c\nleft out"),
     ("<article><p>&eacute;&#65;&#x42;&copy; &amp;amp; &nbsp; end</p></article>", "éAB© &amp; end"),
     ("<article><ul><li>one<li>two</ul><table><tr><td>three<td>four</table><p>five<p>six</article>", "one\ntwo\nthree\nfour\nfive\nsix"),
+    ('<main><h1>T</h1><div aria-label="Advertisement"><p>Buy it now</p></div><p class="breadcrumbs">A / B</p><p>Text is here.</p><li class="menu">point</li></main>', "T\nText is here.\npoint"),
+    ('<table><tr><td class="sidebar"><p>Read this other thing that is long enough to be text of a page</p></td><td class="header">Head of the table, a cell of many words that is read as any other</td><td>The text of an old page in a table, with words enough for a paragraph.</td></tr></table>', "Head of the table, a cell of many words that is read as any other\nThe text of an old page in a table, with words enough for a paragraph."),
+    ('<div id="header"><h1>Site</h1></div><div class="post"><h2 id="intro">One heading</h2><p>A paragraph of a page without any main element, but long enough to be told from menus and notes.</p><ul><li>first point of it</li><li>second point of it</li></ul><p>Another paragraph that goes on for some time, so that the list stands between two of them.</p></div><div id="footer"><p>All rights are reserved by us, and so on</p></div>', "One heading\nA paragraph of a page without any main element, but long enough to be told from menus and notes.\nfirst point of it\nsecond point of it\nAnother paragraph that goes on for some time, so that the list stands between two of them."),
     ("", ""), (None, ""), ("<nav><a href=x>Menu</a></nav>", ""),
 ])
 def test_known_pages(page, want):

@@ -31,7 +31,7 @@ MAIN = frozenset(("article", "main"))
 ASIDE = frozenset("nav footer aside header form menu dialog fieldset search".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Containers, whose names count.
-NAMED = frozenset("article aside center details dialog div dl figure footer header ol section table ul".split())
+NAMED = frozenset("article aside center details dialog div dl figure footer header ol section table td ul".split())
 #: Open elements that a start tag ends, as authors leave out their end tags; every block also ends a paragraph.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",), "optgroup": ("option", "optgroup")}
 ENDS |= dict.fromkeys(("thead", "tbody", "tfoot"), ("td", "th", "tr", "thead", "tbody", "tfoot"))
@@ -47,7 +47,9 @@ IDS = frozenset("ad ads advert adverts advertisement cookie cookies gdpr sidebar
 WHOLE_IDS = frozenset("header footer menu nav navigation banner login search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 #: A paragraph's whole class that says it is none of the article's.
-PARAGRAPHS = frozenset("ad ads advert advertisement sponsored promo cookie notice copyright comment paywall".split())
+PARAGRAPHS = frozenset("ad ads advert advertisement sponsored promo cookie cookie-notice notice copyright comment paywall breadcrumb breadcrumbs newsletter share".split())
+#: Labels of containers.
+LABELS = frozenset(("advertisement", "advertisements", "sponsored", "breadcrumb", "breadcrumbs", "comments", "cookie notice", "cookie consent", "newsletter"))
 #: First words of classes that say something about a part and don't name it.
 ABOUT = frozenset("no not has have with without hide show tag category cat topic term".split())
 #: First words of classes whose header is an article's own.
@@ -87,6 +89,8 @@ LABELLED = (
     (50, 0.0, 20, 0.0, 3, 1.0, 0, 0, 0, 0, 0, 1), (28, 0.0, 70, 0.0, 1, 1.0, 0, 0, 0, 0, 0, 1), (22, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0, 1),
     # a short heading after a short line, before a paragraph
     (4, 0.0, 9, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 3, 0.0, 30, 0.0, 0, 0, 0, 0, 0, 1), (5, 0.0, 14, 0.0, 100, 0.0, 0, 0, 0, 0, 0, 1), (1, 0.0, 5, 0.6, 40, 0.0, 0, 0, 0, 0, 0, 1),
+    # points of a list among paragraphs
+    (4, 0.0, 18, 0.0, 4, 0.0, 0, 0, 0, 0, 0, 1), (4, 0.0, 4, 0.0, 17, 0.0, 0, 0, 0, 0, 0, 1), (3, 0.0, 4, 0.0, 5, 0.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 30, 0.0, 2, 0.0, 0, 0, 0, 0, 0, 1), (6, 0.0, 60, 0.0, 7, 0.0, 0, 0, 0, 0, 0, 1),
     # menus, notes and adverts there
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0, 0), (3, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0, 0), (6, 0.8, 2, 1.0, 40, 0.0, 0, 0, 0, 0, 0, 0),
     (2, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0, 0, 0), (25, 0.9, 4, 1.0, 9, 0.9, 0, 0, 0, 0, 0, 0), (4, 0.0, 2, 0.0, 1, 1.0, 0, 0, 0, 0, 0, 0),
@@ -146,13 +150,15 @@ def _name(tag: str, attributes: str) -> float:
                 words = [x.lower() for x in WORD_ENDS.split(name) if x]
                 if not words or words[0] in ABOUT:
                     continue
-                if not NAMES.isdisjoint(x for x in words if x != "header" or words[0] not in OWN):
+                if not NAMES.isdisjoint(x for x in words if x != "header" or words[0] not in OWN and tag != "td"):
                     return 1.0
                 found = max(found, 0.5 * (not WEAK.isdisjoint(words)))
         elif key == "id" and tag != "p":
             words = [x.lower() for x in WORD_ENDS.split(value) if x]
             if not IDS.isdisjoint(words) or value.strip().lower() in WHOLE_IDS and tag not in ("section", "article"):
                 return 1.0
+        elif key == "aria-label" and value.strip().lower() in LABELS:
+            return 1.0
         elif key == "role" and value.strip().lower() in ROLES:
             return 1.0
     return found
