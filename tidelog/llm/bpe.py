@@ -262,7 +262,8 @@ def load(path: str) -> Bpe:
 def encode(documents: DataFrame, path: str, ids: bool = False, digests: bool = True, keep: list[str] | None = None) -> DataFrame:
     """A row per document: doc_id, n_tokens; with `digests` ids_sha256 and decoded_sha256 of all ids and of the text decoded from them; with `ids` the ids and that text themselves; then the columns named in `keep`.
 
-    Null and empty texts have no tokens and decode to the empty string. Rows are independent: repeated rows, null doc_ids
+    Null and empty texts have no tokens and decode to the empty string; texts of any length, and words of any length, are
+    encoded whole. An empty table gives an empty one. Rows are independent: repeated rows, null doc_ids
     and other columns, of whatever names, are left as they are.
     """
     source, home = kept(documents, keep)

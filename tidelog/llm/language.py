@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm._shared import carried, carried_schema, kept, map_chunks, offsets, record, stage, text_bytes
+from tidelog.llm._shared import Stages, carried, carried_schema, kept, map_chunks, offsets, record, text_bytes
 from tidelog.llm._words import _LOWER, mix
 
 #: Lengths in bytes; an n-gram's length is in its code's top byte.
@@ -77,7 +77,7 @@ def _places(code: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def train(documents: DataFrame, share: float = SHARE, ratio: float = RATIO) -> Model:
-    """From text and lang of all rows where lang isn't null."""
+    """From text and lang of all rows where lang isn't null; texts of any length count whole, repeated rows each time, and other columns, of whatever names, play no part. No rows give a model without languages."""
 
     def per_chunk(batch, column):
         langs = batch.column("lang").dictionary_encode()
@@ -98,10 +98,11 @@ def train(documents: DataFrame, share: float = SHARE, ratio: float = RATIO) -> M
     length = F.lit(None)
     for k in LENGTHS:
         length = F.coalesce(length, F.when(F.shiftright("code", 8 * k) == k, k))
-    counts = stage(counts.withColumn("k", length), "grams")
-    totals = counts.groupBy("lang", "k").agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(totals), ["lang", "k"]).select("lang", "code", (F.col("n") / F.col("total")).alias("p")).filter(F.col("p") >= share)
-    rows = shares.toPandas()  # at most 1 / share rows for each language and length
+    with Stages(documents.sparkSession, "grams") as stage:
+        counts = stage(counts.withColumn("k", length), "counts")
+        totals = counts.groupBy("lang", "k").agg(F.sum("n").alias("total"))
+        shares = counts.join(F.broadcast(totals), ["lang", "k"]).select("lang", "code", (F.col("n") / F.col("total")).alias("p")).filter(F.col("p") >= share)
+        rows = shares.toPandas()  # at most 1 / share rows for each language and length
     if ratio > 0 and len(rows):
         rows = rows[rows.p >= ratio * rows.groupby("code").p.transform("max")]
     languages = sorted(rows.lang.unique().tolist()) if len(rows) else []
@@ -121,7 +122,8 @@ def predict(documents: DataFrame, model: Model, keep: list[str] | None = None) -
 
     score: the part of the document's n-grams that the predicted language has, corrected for false positives, 0 to 1.
     Null texts, texts without letters, and all texts under a model without languages are `und` at score 0. Equal counts
-    go to the first language in order of name. Rows are independent, and other columns play no part.
+    go to the first language in order of name. Texts of any length are looked up whole. Rows are independent: repeated
+    rows and other columns, of whatever names, play no part.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
     source, home = kept(documents, keep)

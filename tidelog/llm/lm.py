@@ -247,7 +247,7 @@ PARTS = "kind string, shard int, blob binary, classes array<bigint>"
 
 
 def train(documents: DataFrame) -> dict:
-    """Count and write a model of all rows' texts; what the workers need to use it."""
+    """Count and write a model of all rows' texts; what the workers need to use it. Null texts count as empty ones, texts of any length whole, repeated rows each time; no rows give a model that knows nothing."""
     spark = bounded(documents.sparkSession)
     texts = documents.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
