@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidelog.llm._shared import carried, carried_schema, kept, map_chunks, record
+from tidelog.llm._shared import carried, carried_schema, kept, map_chunks, record, release
 
 _NONE = np.uint32(0xFFFFFFFF)
 #: Longer words, in bytes, get a tree of their own.
@@ -256,6 +256,7 @@ _loaded: dict[str, Bpe] = {}
 def load(path: str) -> Bpe:
     if path not in _loaded:
         _loaded[path] = Bpe(path)
+        release()  # what reading the file took
     return _loaded[path]
 
 

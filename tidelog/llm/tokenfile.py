@@ -1,6 +1,6 @@
 """Token ids in ORC files, in ascending order of document.
 
-Documents are dealt out by ranges of doc_id, encoded and written in that order: stripes with run-length encoded integer
+Documents are dealt out by ranges of doc_id, and of a hash of the text within one, encoded and written in that order: stripes with run-length encoded integer
 columns, row indexes, and Bloom filters on doc_id, so that readers take stripes in parallel and skip those without the
 documents they want. A row has its place in its file; a file's place follows from the files' totals, a row for each.
 """
@@ -78,7 +78,7 @@ def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes
     """Write doc_id, part, place (ids of the file before this row), n_tokens and ids of every row.
 
     end_id follows each document's ids. Null and empty texts have it alone. Null doc_ids come first; rows of equal doc_id
-    are in order of their texts. An empty table gives an empty file. Texts of any length are a row each. Other columns,
+    are in order of a hash of their texts. An empty table gives an empty file. Texts of any length are a row each. Other columns,
     of whatever names, aren't written.
     """
     spark = bounded(documents.sparkSession)
@@ -101,7 +101,8 @@ def write(documents: DataFrame, out: str, path: str, end_id: int = 2, file_bytes
     source = documents.select("doc_id", "text")
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-size // file_bytes), spark.sparkContext.defaultParallelism)
-    ordered = source.repartitionByRange(int(files), "doc_id").sortWithinPartitions("doc_id", "text")
+    # By a hash of the text too, so that rows of one doc_id, such as null, may be dealt out over files.
+    ordered = source.withColumn("h", F.xxhash64("text")).repartitionByRange(int(files), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
     options = {"orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.rows.between.memory.checks": "200"}
     map_batches(ordered, run, f"doc_id {kind}, part int, place bigint, n_tokens bigint, ids array<int>").write.options(**options).orc(out)
 
