@@ -120,3 +120,18 @@ def test_token_files_have_stripes_and_skip_by_index_and_bloom_filter(spark, tmp_
     for i, _ in rows:
         assert whole[i][0] == at
         at += whole[i][1]
+
+
+def test_hash_arrays_find_all_keys_and_hardly_any_other(tmp_path):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    for n in (0, 1, 40, 400_000):
+        keys = np.unique(r.integers(0, 1 << 64, n, np.uint64))
+        lm._write_table(f"{tmp_path}/t{n}-0", keys[::-1], c=np.arange(len(keys))[::-1])
+        reader = lm.Reader({"home": str(tmp_path), "shards": 1})
+        found = reader.look_up(f"t{n}", np.zeros(len(keys), np.int64), keys, ("c",))
+        assert found[0].all() and (found[1] == np.arange(len(keys))).all()
+        others = r.integers(0, 1 << 64, 1_000_000, np.uint64)
+        # Expected: a million look-ups, some 32 keys in each, each taken for the other with a chance of 2 ** -32.
+        assert reader.look_up(f"t{n}", np.zeros(len(others), np.int64), others)[0].sum() <= 2

@@ -1,8 +1,8 @@
 """Token ids in ORC files, in ascending order of document.
 
-Documents are dealt out by ranges of doc_id, and of a hash of the text within one, encoded and written in that order: stripes with run-length encoded integer
-columns, row indexes, and Bloom filters on doc_id, so that readers take stripes in parallel and skip those without the
-documents they want. A row has its place in its file; a file's place follows from the files' totals, a row for each.
+Documents are dealt out by ranges of doc_id, and of a hash of the text within one, encoded and written in that order:
+stripes with run-length encoded integer columns, row indexes, and Bloom filters on doc_id, so that readers take stripes in
+parallel and skip those without the documents they want. A row has its place in its file; a file's place follows from the files' totals, a row for each.
 """
 
 from __future__ import annotations
