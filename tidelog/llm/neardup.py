@@ -277,8 +277,8 @@ def _compare_around(tried: DataFrame, percent: int, stage: Stages) -> DataFrame:
     block = lambda salt, n: F.pmod(F.xxhash64("u", F.lit(salt)), F.col(n)).cast("int")
     members = rows.select("u", "v", "n", "link", "x", F.lit(False).alias("o"), block(1, "m").alias("j"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
     probes = rows.filter("probe").select("u", "v", "n", "link", "x", F.lit(True).alias("o"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), block(2, "k").alias("i"))
-    # Dealt out by block, not by pivot alone, as the join may have left them.
-    met = members.union(probes).repartition("v", "i", "j").groupBy("v", "i", "j")
+    # Dealt out by block, not by pivot alone, as the join may have left them; in ranges of equal rows, so that no task gets several full blocks.
+    met = members.union(probes).repartitionByRange("v", "i", "j").groupBy("v", "i", "j")
     return map_groups(met, tried.sparkSession, _around(percent), "u bigint, v bigint")
 
 

@@ -23,7 +23,7 @@ from tidelog.llm._shared import bounded, chunks, if_small, map_batches, new_path
 from tidelog.llm.bpe import _byte_chars
 
 #: Bytes of text in a file, about; and of a stripe, of which a file has several.
-FILE_BYTES, STRIPE_BYTES = 64 << 20, 8 << 20
+FILE_BYTES, STRIPE_BYTES = 32 << 20, 4 << 20
 #: Rows between two entries of a row index.
 STRIDE = 1000
 #: Files whose places are summed together; their sums, one for each group, come to the driver.
