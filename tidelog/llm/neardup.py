@@ -351,8 +351,9 @@ def _found(documents: DataFrame, shingle: int, percent: int, rows: int, groups:
     linked = stage(nodes.select("fp", "doc").join(labels, "fp"), "linked")
     least = stage(linked.groupBy("c").agg(F.min("doc").alias("component_id")), "least")
     named = linked.join(if_small(least, 24), "c").select("fp", "component_id")
-    member = nodes.select("fp", "doc").join(named, "fp", "left").select("fp", F.coalesce("component_id", "doc").alias("component_id"))
-    out = found.select("doc_id", "n", "fp").join(member, "fp", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    member = stage(nodes.select("fp", "doc").join(named, "fp", "left").select("fp", F.coalesce("component_id", "doc").alias("component_id")), "member")
+    # Both sides are shuffled for this join alone, so Spark may split the copies of one text.
+    out = found.select("doc_id", "n", "fp").join(member.hint("shuffle_merge"), "fp", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
