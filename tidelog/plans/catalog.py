@@ -231,12 +231,10 @@ def _offsets(spark, d) -> DataFrame:
 _OFFSETS = f"{LOG}, o AS (SELECT user_id % 8 AS partition_id, max(seq) AS commitlog_position, max(ts_us) AS last_event_timestamp_micros, count(*) AS events_replicated_count FROM log GROUP BY 1)"
 
 
-@query(f"WITH {_OFFSETS} SELECT partition_id, 'POSTGRES' AS destination, commitlog_position, last_event_timestamp_micros, events_replicated_count, 8 AS ids FROM o")
+@query(f"WITH {_OFFSETS} SELECT partition_id, 'POSTGRES' AS destination, commitlog_position, last_event_timestamp_micros, events_replicated_count, 36 AS id_length FROM o")
 def create_offsets(spark, d):
     """New offsets, each with an id of its own."""
-    found = _offsets(spark, d)
-    ids = found.agg(F.count_distinct(F.concat("offset_id", F.col("partition_id").cast("string"))).cast("int").alias("ids"))
-    return found.crossJoin(F.broadcast(ids)).select("partition_id", "destination", "commitlog_position", "last_event_timestamp_micros", "events_replicated_count", "ids")
+    return _offsets(spark, d).select("partition_id", "destination", "commitlog_position", "last_event_timestamp_micros", "events_replicated_count", F.length("offset_id").alias("id_length"))
 
 
 @query(f"WITH {_OFFSETS} SELECT partition_id, commitlog_position FROM o WHERE partition_id = 3")
